@@ -217,3 +217,6 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Inputs:
         pos_sale=pos_sale,
         pos_order=pos_order,
     )
+
+# first local day of the reporting period on the generated data (fixed value)
+FIXTURE_START = "2024-01-08"
