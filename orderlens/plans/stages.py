@@ -335,15 +335,18 @@ def pos_by_journal(inp: Inputs) -> DataFrame:
     )
 
 
-def dealers(inp: Inputs) -> DataFrame:
-    """order_num -> dealer for completed dealer orders (comma join of order and extension)."""
+def dealers(inp: Inputs, distinct: bool = True) -> DataFrame:
+    """order_num -> dealer for completed dealer orders (comma join of order and extension).
+
+    ``distinct`` is for the DISTINCT report, where repeated matches add nothing."""
     head = inp.order_head.where(F.col("x_sub_status") == R.COMPLETE).select(
         F.col("row_id").alias("_dh_id"), F.col("order_num").alias("_dealer_order")
     )
     ext = inp.order_ext_x.where(F.col("attrib_45").isNotNull()).select(
         F.col("row_id").alias("_dx_id"), F.col("attrib_45").alias("dealer")
     )
-    return head.join(ext, F.col("_dh_id") == F.col("_dx_id"), "inner").select("_dealer_order", "dealer").distinct()
+    out = head.join(ext, F.col("_dh_id") == F.col("_dx_id"), "inner").select("_dealer_order", "dealer")
+    return out.distinct() if distinct else out
 
 
 def pos_within_window(lines: DataFrame, inp: Inputs, tz: str = LOCAL_TZ) -> DataFrame:
