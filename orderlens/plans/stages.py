@@ -11,6 +11,8 @@ report_cash       report + cash-only POS sales, combined shop name, subscriber t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +90,12 @@ def _orders_in_scope(inp: Inputs, start: str, tz: str) -> DataFrame:
 
 def _individual_lines(inp: Inputs, lines: DataFrame) -> DataFrame:
     """Order lines of individual (non-business) customers; the WHERE on the billing account
-    makes the subscriber and billing outer joins inner joins."""
+    makes the subscriber and billing outer joins inner joins.  The two dimensions are joined
+    to each other first, so the line stream meets one (filtered) subscriber relation."""
+    return lines.join(individual_subscribers(inp), lines["serv_accnt_id"] == F.col("subscriberid"), "inner")
+
+
+def individual_subscribers(inp: Inputs) -> DataFrame:
     san = inp.dim_subscriber.select(
         F.col("subscriberid"),
         F.col("billingaccountid").alias("_san_ba"),
@@ -100,9 +107,7 @@ def _individual_lines(inp: Inputs, lines: DataFrame) -> DataFrame:
     ban = inp.dim_billing.where(F.col("customertype") == R.INDIVIDUAL).select(
         F.col("billingaccountid").alias("_ban_ba"), "linecategory", "billingaccountnumber"
     )
-    return lines.join(san, lines["serv_accnt_id"] == san["subscriberid"], "inner").join(
-        ban, F.col("_san_ba") == F.col("_ban_ba"), "inner"
-    )
+    return san.join(ban, F.col("_san_ba") == F.col("_ban_ba"), "inner").drop("_san_ba", "_ban_ba")
 
 
 def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
@@ -177,13 +182,18 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
         F.col("productid").alias("_art_id"),
         "level3", "level4", F.col("facevalue").cast("double").alias("facevalue"), "level3_order", "description",
     )
+    # Join order: joins on the same key sit next to each other so that, when AQE does not
+    # broadcast a side (it does whenever the measured size is under the threshold), one
+    # exchange of the line stream serves both: the filtering article join and the product
+    # join on prod_id, the order join and its extension on the order key.  The line-keyed
+    # join to the latest service dates reuses the window's exchange on row_id.
     joined = (
-        lines.join(orders, F.col("order_id") == F.col("_ord_id"), "inner")
-        .join(om, F.col("row_id") == F.col("_om_id"), "left")
+        lines.join(article, F.col("prod_id") == F.col("_art_id"), "inner")
         .join(prod, F.col("prod_id") == F.col("_prod_id"), "left")
-        .join(usr, F.col("_ord_user") == F.col("_usr_id"), "left")
+        .join(orders, F.col("order_id") == F.col("_ord_id"), "inner")
         .join(ord2, F.col("_ord_id") == F.col("_ord2_id"), "left")
-        .join(article, F.col("prod_id") == F.col("_art_id"), "inner")
+        .join(om, F.col("row_id") == F.col("_om_id"), "left")
+        .join(usr, F.col("_ord_user") == F.col("_usr_id"), "left")
     )
     return joined.select(
         local_time("contractstartdate", tz).alias("transactiondate"),
@@ -316,12 +326,23 @@ def level1_by_branches(de: DataFrame) -> DataFrame:
 
 
 def order_level1(lvl1: DataFrame) -> DataFrame:
-    return lvl1.select("orderid", "level1").distinct()
+    """``SELECT DISTINCT orderid, level1``.
+
+    Written as a per-order set (at most the dozen Level1 labels, so bounded per order)
+    and exploded back: the aggregate is keyed by orderid alone, so its output is already
+    hash-partitioned the way the join on orderid needs it (a plain DISTINCT would shuffle by
+    (orderid, level1) and then again by orderid).  The struct keeps a NULL label as a value.
+    """
+    tags = lvl1.groupBy("orderid").agg(F.collect_set(F.struct("level1")).alias("_tags"))
+    return tags.select("orderid", F.explode("_tags").alias("_tag")).select("orderid", "_tag.level1")
 
 
 def pos_by_journal(inp: Inputs) -> DataFrame:
-    """POS order detail -> gross sale by journal, distinct per CRM order (the report is DISTINCT,
-    so repeated matches add nothing)."""
+    """POS order detail -> gross sale by journal, keyed by CRM order.
+
+    Joined on the POS side first ((a LEFT JOIN p) LEFT JOIN t ON p.j = t.j equals
+    a LEFT JOIN (p LEFT JOIN t), as the second condition rejects NULL p rows), so the wide
+    report rows are exchanged once by orderid for all order-keyed joins."""
     sale = inp.pos_sale.select(
         F.col("journal_id").alias("_tr_journal"),
         F.col("agentid").alias("agent_pos"),
@@ -331,22 +352,18 @@ def pos_by_journal(inp: Inputs) -> DataFrame:
     return (
         inp.pos_order.join(sale, F.col("journal_id") == F.col("_tr_journal"), "left")
         .select(F.col("crm_order").alias("_pos_order"), "agent_pos", "shop_pos", "agent_name_pos")
-        .distinct()
     )
 
 
-def dealers(inp: Inputs, distinct: bool = True) -> DataFrame:
-    """order_num -> dealer for completed dealer orders (comma join of order and extension).
-
-    ``distinct`` is for the DISTINCT report, where repeated matches add nothing."""
+def dealers(inp: Inputs) -> DataFrame:
+    """order_num -> dealer for completed dealer orders (comma join of order and extension)."""
     head = inp.order_head.where(F.col("x_sub_status") == R.COMPLETE).select(
         F.col("row_id").alias("_dh_id"), F.col("order_num").alias("_dealer_order")
     )
     ext = inp.order_ext_x.where(F.col("attrib_45").isNotNull()).select(
         F.col("row_id").alias("_dx_id"), F.col("attrib_45").alias("dealer")
     )
-    out = head.join(ext, F.col("_dh_id") == F.col("_dx_id"), "inner").select("_dealer_order", "dealer")
-    return out.distinct() if distinct else out
+    return head.join(ext, F.col("_dh_id") == F.col("_dx_id"), "inner").select("_dealer_order", "dealer")
 
 
 def pos_within_window(lines: DataFrame, inp: Inputs, tz: str = LOCAL_TZ) -> DataFrame:
@@ -470,10 +487,14 @@ def report_cash(rpt: DataFrame, inp: Inputs, start: str) -> DataFrame:
     )
 
 
-def run_chain(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> dict[str, DataFrame]:
-    """All stages, lazily chained (see ``plans.pipeline`` for the materialised run)."""
-    b = base(inp, start, tz)
-    de = delete_enriched(b)
+def run_chain(inp: Inputs, start: str, tz: str = LOCAL_TZ,
+              store: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All stages chained.  ``store(name, df)`` may materialise the two stages that are read
+    several times (base, delete_enriched) and return the re-read DataFrame; without it the
+    chain stays lazy (see ``plans.pipeline`` for the run that writes every stage)."""
+    keep = store or (lambda _name, df: df)
+    b = keep("base", base(inp, start, tz))
+    de = keep("delete_enriched", delete_enriched(b))
     l1 = level1(de)
     rpt = report(de, l1, inp, tz)
     return {

@@ -53,7 +53,17 @@ def _de(spark, sf_dir):
 
 
 def _chain(spark, sf_dir) -> dict[str, DataFrame]:
-    return stages.run_chain(_inp(spark, sf_dir), FIXTURE_START)
+    """The stage chain with base and delete_enriched written once to the shared folder."""
+    return stages.run_chain(_inp(spark, sf_dir), FIXTURE_START, store=_store(spark))
+
+
+def _store(spark: SparkSession):
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = _scratch(spark, name)
+        sinks.write_stage(df, path)
+        return sinks.read_stage(spark, path)
+
+    return store
 
 
 def _scratch(spark: SparkSession, what: str) -> str:
@@ -337,7 +347,7 @@ def join_pos_within_10h(spark, sf_dir):
 
 @query
 def join_comma_dealer(spark, sf_dir):
-    return stages.dealers(_inp(spark, sf_dir), distinct=False).select(
+    return stages.dealers(_inp(spark, sf_dir)).select(
         F.col("_dealer_order").alias("order_num"), F.col("dealer").alias("dealer_name")
     )
 
@@ -346,7 +356,7 @@ def join_comma_dealer(spark, sf_dir):
 def join_dealer(spark, sf_dir):
     inp = _inp(spark, sf_dir)
     de = stages.delete_enriched(stages.base(inp, FIXTURE_START))
-    return de.join(stages.dealers(inp, distinct=False), F.col("orderid") == F.col("_dealer_order"), "left").select(
+    return de.join(stages.dealers(inp), F.col("orderid") == F.col("_dealer_order"), "left").select(
         "orderid", "product", "dealer"
     )
 
@@ -361,7 +371,7 @@ def join_subscriber_type(spark, sf_dir):
 
 
 def _exclusive(spark, sf_dir, kind: str) -> DataFrame:
-    de = _de(spark, sf_dir)
+    de = _chain(spark, sf_dir)["delete_enriched"]
     kept = not_in(
         de.where(F.col("level3") == kind), "orderid",
         de.where(F.col("level3").isin(*stages.EXCLUSIVE_FLAGS[kind])), "orderid",
@@ -428,13 +438,13 @@ def window_latest_row(spark, sf_dir):
 
 @query
 def union_level_branches(spark, sf_dir):
-    return stages.level1_by_branches(_de(spark, sf_dir))
+    return stages.level1_by_branches(_chain(spark, sf_dir)["delete_enriched"])
 
 
 @query
 def union_report_cash(spark, sf_dir):
     inp = _inp(spark, sf_dir)
-    c = stages.run_chain(inp, FIXTURE_START)
+    c = stages.run_chain(inp, FIXTURE_START, store=_store(spark))
     return stages.report_with_cash(c["report"], inp, FIXTURE_START)
 
 
@@ -558,7 +568,7 @@ def stage_delete_enriched(spark, sf_dir):
 
 @query
 def stage_level1(spark, sf_dir):
-    return stages.level1(_de(spark, sf_dir))
+    return _chain(spark, sf_dir)["level1"]
 
 
 @query

@@ -89,10 +89,10 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Inputs:
         F.when(ok % 3 == 0, F.concat(F.lit("Dealer "), _s(ok % 7))).alias("attrib_45"),
     )
 
-    # line items carry the service account and creation time of their order
+    # order lines carry the service account of their order
     lines = lineitem.join(
         orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey", "inner"
-    ).withColumn("_created", _created(F.col("l_orderkey")))
+    )
     line_row_id = F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber"))
     order_item = lines.select(
         line_row_id.alias("row_id"),
@@ -105,7 +105,8 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Inputs:
         F.lit(None).cast("string").alias("par_order_item_id"),
         _s("l_suppkey").alias("asset_integ_id"),
     )
-    order_item_om = lines.select(
+    # service dates start at the order's creation time, a function of the order key alone
+    order_item_om = lineitem.withColumn("_created", _created(F.col("l_orderkey"))).select(
         line_row_id.alias("row_id"),
         F.when(F.col("l_partkey") % 17 == 0, F.lit(None).cast("timestamp_ntz"))
         .otherwise(F.col("l_shipdate") + F.make_dt_interval(secs=F.col("l_partkey")))
