@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_stage(df: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Replace the stage at ``path`` (overwrite = drop + create; a failed job leaves the old files).
+    """Replace the stage at ``path`` (overwrite = DROP + CREATE; on failure re-run the stage).
 
     ``partitions`` optionally caps the number of output files via a final coalesce."""
     out = df.coalesce(partitions) if partitions else df

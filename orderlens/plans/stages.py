@@ -278,18 +278,25 @@ def level1(de: DataFrame) -> DataFrame:
     Device and accessory lines always qualify.  A service line qualifies only if its order
     has no device/accessory/other line (``orderid NOT IN (...)``), an other line only if its
     order has no device/accessory/service line.  Both lists come from one per-order flag
-    aggregate; the NULL cases of NOT IN are kept exact by two EXISTS tests per list.
+    aggregate (partial aggregation before the shuffle, one narrow row per order).  The NULL
+    cases of NOT IN need two global facts per list (is it empty, does it hold a NULL
+    orderid); they come from one scalar aggregate subquery, evaluated once.
     """
     lists = {k: F.col("level3").isin(*v) for k, v in EXCLUSIVE_FLAGS.items()}
     flags = de.groupBy(F.col("orderid").alias("_fl_order")).agg(
         *[F.bool_or(cond).alias(f"_in_{k}") for k, cond in lists.items()]
     )
     withf = de.join(flags, F.col("orderid") == F.col("_fl_order"), "left")
+    facts = de.agg(
+        F.struct(
+            *[F.coalesce(F.bool_or(cond), F.lit(False)).alias(f"any_{k}") for k, cond in lists.items()],
+            *[F.coalesce(F.bool_or(cond & F.col("orderid").isNull()), F.lit(False)).alias(f"null_{k}")
+              for k, cond in lists.items()],
+        )
+    ).scalar()
 
     def passes(kind: str) -> Column:
-        listed = de.where(lists[kind])
-        has_null = listed.where(F.col("orderid").isNull()).exists()
-        non_empty = listed.exists()
+        has_null, non_empty = facts.getField(f"null_{kind}"), facts.getField(f"any_{kind}")
         return ~has_null & (
             (F.col("orderid").isNotNull() & ~F.coalesce(F.col(f"_in_{kind}"), F.lit(False)))
             | (F.col("orderid").isNull() & ~non_empty)
