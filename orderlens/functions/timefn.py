@@ -1,4 +1,10 @@
-"""Time helpers.  All report timestamps are wall-clock ``timestamp_ntz`` values."""
+"""Time helpers.  All report timestamps are wall-clock ``timestamp_ntz`` values.
+
+None of these depends on the session time zone for ``timestamp_ntz`` input: the zone shift is
+``convert_timezone`` between named zones and epoch seconds are computed from the wall-clock
+fields.  A ``timestamp`` (with zone) input is first read as wall clock in the session zone,
+which a cluster pins to UTC.
+"""
 
 from __future__ import annotations
 
@@ -17,9 +23,13 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def wall_clock(ts: str | Column) -> Column:
+    return _c(ts).cast("timestamp_ntz")
+
+
 def local_time(ts: str | Column, tz: str = LOCAL_TZ) -> Column:
-    """UTC wall clock -> local wall clock (``from_utc_timestamp``), kept as timestamp_ntz."""
-    return F.from_utc_timestamp(_c(ts), tz).cast("timestamp_ntz")
+    """UTC wall clock -> local wall clock (what ``from_utc_timestamp(ts, tz)`` does)."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), wall_clock(ts))
 
 
 def local_date(ts: str | Column, tz: str = LOCAL_TZ) -> Column:
@@ -32,8 +42,15 @@ def on_or_after(day: Column, start: str) -> Column:
 
 
 def epoch_seconds(ts: str | Column) -> Column:
-    """Whole seconds since the epoch (``cast(ts as bigint)``; fractions are dropped)."""
-    return F.unix_seconds(_c(ts).cast("timestamp"))
+    """Whole seconds since 1970-01-01 00:00 of the wall clock (``cast(ts as bigint)``: the
+    fraction of the second is dropped, i.e. floored)."""
+    w = wall_clock(ts)
+    return (
+        F.unix_date(F.to_date(w)).cast("long") * 86400
+        + F.hour(w) * 3600
+        + F.minute(w) * 60
+        + F.second(w)
+    )
 
 
 def days_between(end: str | Column, start: str | Column) -> Column:
