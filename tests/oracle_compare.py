@@ -53,15 +53,35 @@ def rows_spark(df) -> tuple[list[str], list[tuple]]:
     return cols, [tuple(r) for r in df.collect()]
 
 
-def rows_duck(con, sql: str) -> tuple[list[str], list[tuple]]:
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "smallint": "SMALLINT",
+}
+
+
+def rows_duck(con, sql: str) -> tuple[list[str], list[tuple], list[str]]:
     rel = con.sql(sql)
-    return list(rel.columns), rel.fetchall()
+    return list(rel.columns), rel.fetchall(), [str(t) for t in rel.types]
+
+
+def type_diff(df, d_cols: list[str], d_types: list[str]) -> dict:
+    duck_types = {c.lower(): t for c, t in zip(d_cols, d_types)}
+    out = {}
+    for f in df.schema.fields:
+        s = f.dataType.simpleString()
+        if SPARK_TO_DUCK.get(s, s) != duck_types.get(f.name.lower()):
+            out[f.name] = (s, duck_types.get(f.name.lower()))
+    return out
 
 
 def compare(df, con, sql: str) -> dict:
     s_cols, s_rows = rows_spark(df)
-    d_cols, d_rows = rows_duck(con, sql)
+    d_cols, d_rows, d_types = rows_duck(con, sql)
     out = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows)}
+    diff = type_diff(df, d_cols, d_types)
+    out["types_match"] = not diff
+    if diff:
+        out["type_diff"] = diff
     out["columns_match"] = sorted(c.lower() for c in s_cols) == sorted(c.lower() for c in d_cols)
     if not out["columns_match"]:
         out["spark_cols"] = s_cols
@@ -72,7 +92,7 @@ def compare(df, con, sql: str) -> dict:
     order_d = sorted(range(len(d_cols)), key=lambda i: d_cols[i].lower())
     cs = Counter(tuple(_canon(r[i]) for i in order_s) for r in s_rows)
     cd = Counter(tuple(_canon(r[i]) for i in order_d) for r in d_rows)
-    out["match"] = cs == cd
+    out["match"] = cs == cd and out["types_match"]
     if not out["match"]:
         names = [s_cols[i] for i in order_s]
         only_s = list((cs - cd).elements())[:3]
