@@ -17,20 +17,24 @@ def left_join_within(
     """``left LEFT JOIN right ON keys AND abs(right_seconds - left_seconds) < max_gap``.
 
     Matching on the key alone would compare every left row with every right row of the same
-    key (all POS sales of a subscriber); a busy key would then be one huge task.  Instead time
-    is cut into bins of ``max_gap`` seconds: a pair closer than ``max_gap`` lies in the same or
-    an adjacent bin, so each right row is copied into its own bin and both neighbours, and the
-    join key becomes (key, bin).  Each left row has exactly one bin, so every qualifying pair
-    meets exactly once and unmatched left rows stay once with NULLs: the result equals the
-    plain join.  Partner lists are bounded by the sales in a 3-bin span, the exchange is by
-    (key, bin), and AQE can still split a skewed (key, bin) on the left side.
+    key (all POS sales of a subscriber), and a busy key would be one huge task.  Instead time is
+    cut into bins of width ``2 * max_gap``.  A right row at ``r`` can only match left rows in
+    ``(r - max_gap, r + max_gap)``, which touches at most two bins: those of ``r - max_gap`` and
+    ``r + max_gap``.  So each right row is copied into those (one or two) bins, and the join
+    key becomes (key, bin).  Each left row has exactly one bin, so every qualifying pair meets
+    exactly once, unmatched left rows stay once with NULLs, and the result equals the plain
+    join.  Partner lists are bounded by the sales in a ``2 * max_gap`` span; the right side is
+    shuffled at most twice over, and AQE can still split a skewed (key, bin) on the left.
     """
-    lb = left.withColumn("_wj_ls", left_seconds).withColumn("_wj_bin", F.floor(F.col("_wj_ls") / max_gap))
+    width = 2 * max_gap
+    lb = left.withColumn("_wj_ls", left_seconds).withColumn("_wj_bin", F.floor(F.col("_wj_ls") / width))
+    rs = F.col("_wj_rs")
     rb = (
         right.withColumn("_wj_rs", right_seconds)
-        .withColumn("_wj_home", F.floor(F.col("_wj_rs") / max_gap))
-        .withColumn("_wj_rbin", F.explode(F.array(F.col("_wj_home") - 1, F.col("_wj_home"), F.col("_wj_home") + 1)))
-        .drop("_wj_home")
+        .withColumn(
+            "_wj_rbin",
+            F.explode(F.array_distinct(F.array(F.floor((rs - max_gap) / width), F.floor((rs + max_gap) / width)))),
+        )
     )
     cond = None
     for lk, rk in keys:
