@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,3 +24,12 @@ def save_table(df: DataFrame, table: str, path: str | None = None) -> None:
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a completed write (the ``_SUCCESS`` marker of the commit)."""
+    try:
+        spark.read.format("text").load(path.rstrip("/") + "/_SUCCESS")
+    except AnalysisException:
+        return False
+    return True

@@ -31,13 +31,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written tables and checkpoints.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when it is set (a shared file system);
-    only when it is unset (local tests) a fresh folder under the system temp dir is made
-    and registered, so ``DataFrame.checkpoint()`` works too.
+    Uses the cluster's ``spark.checkpoint.dir`` (a shared file system).  Only a local-mode
+    session without one gets a fresh folder under the system temp dir; on a cluster a missing
+    setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         path = tempfile.mkdtemp(prefix="orderlens-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
