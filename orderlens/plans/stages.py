@@ -88,7 +88,7 @@ def _orders_in_scope(inp: Inputs, start: str, tz: str) -> DataFrame:
     )
 
 
-def _individual_lines(inp: Inputs, lines: DataFrame) -> DataFrame:
+def individual_lines(inp: Inputs, lines: DataFrame) -> DataFrame:
     """Order lines of individual (non-business) customers; the WHERE on the billing account
     makes the subscriber and billing outer joins inner joins.  The two dimensions are joined
     to each other first, so the line stream meets one (filtered) subscriber relation."""
@@ -111,16 +111,22 @@ def individual_subscribers(inp: Inputs) -> DataFrame:
 
 
 def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
+    """Distinct (product id, name, type) sold to individual customers in the period.
+
+    Name and type come from the product dimension alone, so the lines are first reduced to
+    their distinct product ids (map-side partial aggregation) and the dimension is joined to
+    that small set instead of to every line; the final DISTINCT keeps the bag semantics of
+    duplicate dimension rows."""
     lines = inp.order_item.where(F.col("action_cd").isin(R.ADD, R.DELETE))
-    lines = _individual_lines(inp, lines)
+    lines = individual_lines(inp, lines)
     orders = _orders_in_scope(inp, start, tz).select(F.col("row_id").alias("_ord_id"))
+    sold = lines.join(orders, F.col("order_id") == F.col("_ord_id"), "inner").select("prod_id").distinct()
     prod = inp.dim_product.select(
         F.col("productid").alias("_p_id"), F.col("productname").alias("product"),
         F.col("stcservicetype").alias("product_type"),
     )
     return (
-        lines.join(orders, F.col("order_id") == F.col("_ord_id"), "inner")
-        .join(prod, F.col("prod_id") == F.col("_p_id"), "left")
+        sold.join(prod, F.col("prod_id") == F.col("_p_id"), "left")
         .select(F.col("prod_id").alias("productid"), "product", "product_type")
         .distinct()
     )
@@ -151,7 +157,7 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
         F.col("par_order_item_id").alias("parentorderitemrowid"),
         "asset_integ_id",
     )
-    lines = _individual_lines(inp, lines)
+    lines = individual_lines(inp, lines)
     orders = _orders_in_scope(inp, start, tz).select(
         F.col("row_id").alias("_ord_id"),
         F.col("order_num").alias("orderid"),

@@ -159,7 +159,7 @@ def project_star_plus(spark, sf_dir):
 def filter_individual_complete(spark, sf_dir):
     inp = _inp(spark, sf_dir)
     lines = inp.order_item.where(F.col("status_cd") == R.COMPLETE)
-    return stages._individual_lines(inp, lines).select("row_id", "order_id", "subscriberid", "status_cd")
+    return stages.individual_lines(inp, lines).select("row_id", "order_id", "subscriberid", "status_cd")
 
 
 @query
