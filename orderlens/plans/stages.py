@@ -118,9 +118,15 @@ def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
     that small set instead of to every line; the final DISTINCT keeps the bag semantics of
     duplicate dimension rows."""
     lines = inp.order_item.where(F.col("action_cd").isin(R.ADD, R.DELETE))
-    lines = individual_lines(inp, lines)
+    subs = individual_subscribers(inp).select(F.col("subscriberid").alias("_sub_id"))
     orders = _orders_in_scope(inp, start, tz).select(F.col("row_id").alias("_ord_id"))
-    sold = lines.join(orders, F.col("order_id") == F.col("_ord_id"), "inner").select("prod_id").distinct()
+    # the subscriber and order joins only filter (the result is DISTINCT): semi joins
+    sold = (
+        lines.join(subs, F.col("serv_accnt_id") == F.col("_sub_id"), "left_semi")
+        .join(orders, F.col("order_id") == F.col("_ord_id"), "left_semi")
+        .select("prod_id")
+        .distinct()
+    )
     prod = inp.dim_product.select(
         F.col("productid").alias("_p_id"), F.col("productname").alias("product"),
         F.col("stcservicetype").alias("product_type"),
