@@ -60,6 +60,7 @@ def main() -> None:
     paths = run_report(spark, inp, FIXTURE_START, out)
     read = {k: spark.read.parquet(v) for k, v in paths.items()}
     plans = {
+        "unique_products": stages.unique_products(inp, FIXTURE_START),
         "base": stages.base(inp, FIXTURE_START),
         "delete_enriched": stages.delete_enriched(read["base"]),
         "level1": stages.level1(read["delete_enriched"]),
