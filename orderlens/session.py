@@ -21,10 +21,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("ORDERLENS_DRIVER_MEMORY", "8g"))
     )
-    # local runs only (tests, bench): a cluster session already names its shared folder
-    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="orderlens-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # local runs only (tests, bench): a folder of our own only where the session names none
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        path = tempfile.mkdtemp(prefix="orderlens-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(path)
     return spark
 
 
