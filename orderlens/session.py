@@ -24,10 +24,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     # local runs only (tests, bench): a folder of our own only where the session names none
+    # (spark.checkpoint.dir is a core setting, fixed once the context runs; the context's
+    # checkpoint folder is what shared_dir() falls back to)
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        path = tempfile.mkdtemp(prefix="orderlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderlens-ckpt-"))
     return spark
 
 
