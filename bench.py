@@ -2,7 +2,8 @@
 
 Each headline query is executed in full into Spark's no-op sink (nothing is collected to the
 driver).  ``pipeline`` is the materialised run that writes all six stages as Parquet.
-Times are the median of $BENCH_REPEAT warm runs (default 3) after one warm-up run.
+Times are the median of $BENCH_REPEAT warm runs (default 3) after one warm-up run;
+``min_max`` gives the fastest and slowest run of each, since a shared host adds noise.
 """
 
 from __future__ import annotations
@@ -58,15 +59,17 @@ def main() -> None:
         return time.perf_counter() - t
 
     run_query("stage_report_cash")  # warm-up: JVM, code generation, file listing caches
-    times: dict[str, float] = {}
+    runs: dict[str, list[float]] = {}
     for name in HEADLINE:
-        times[name] = statistics.median(run_query(name) for _ in range(REPEAT))
-    times["pipeline"] = statistics.median(run_pipeline(i) for i in range(REPEAT))
+        runs[name] = [run_query(name) for _ in range(REPEAT)]
+    runs["pipeline"] = [run_pipeline(i) for i in range(REPEAT)]
+    times = {k: statistics.median(v) for k, v in runs.items()}
     out = {
         "metric": "report_chain_sec",
         "value": round(times["pipeline"], 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
+        "min_max": {k: [round(min(v), 3), round(max(v), 3)] for k, v in runs.items()},
         "sf": _sf(SF_DIR),
         "cpus": int(CPUS),
         "repeat": REPEAT,
