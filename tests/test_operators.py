@@ -84,3 +84,48 @@ def test_union_positional(spark):
     assert u.columns == ["n", "s"] and sorted(tuple(r) for r in u.collect()) == [(1, "x"), (2, "y")]
     with pytest.raises(ValueError):
         union_positional(a, b.select("n2"))
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_not_in_random_vs_brute_force(spark, seed):
+    """NOT IN on random keys with NULLs on both sides and one key holding a third of the rows."""
+    rnd = random.Random(seed)
+
+    def key():
+        x = rnd.random()
+        return "hot" if x < 0.33 else (None if x < 0.38 else f"k{rnd.randint(0, 30)}")
+
+    left = [(i, key()) for i in range(400)]
+    for with_null in (False, True):
+        right = [(key() if with_null else f"k{rnd.randint(0, 40)}",) for _ in range(60)]
+        if not with_null:
+            right.append(("hot",))
+        listed = {r[0] for r in right}
+        if None in listed:
+            expected = []
+        else:
+            expected = [row for row in left if row[1] is not None and row[1] not in listed]
+        ldf = spark.createDataFrame(left, "id int, k string")
+        rdf = spark.createDataFrame(right, "k2 string")
+        assert _bag(not_in(ldf, "k", rdf, "k2").collect()) == _bag(expected), with_null
+
+
+def test_presence_flags_and_value_set_hot_key(spark):
+    """One key holds a third of the rows; flags and sets equal brute force, aggregated map-side."""
+    from orderlens.operators.presence import value_set
+
+    rnd = random.Random(7)
+    kinds = ["Device", "Accessories", "Service", "Other"]
+    rows = [("hot" if i % 3 == 0 else f"o{rnd.randint(0, 50)}", rnd.choice(kinds)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(6)
+    flags = presence_flags(df, "k", "v", {"has_dev": "Device", "has_acc": "Accessories"})
+    seen = {}
+    for k, v in rows:
+        seen.setdefault(k, set()).add(v)
+    got = {r["k"]: (r["has_dev"], r["has_acc"]) for r in flags.collect()}
+    assert got == {k: ("Device" in s, "Accessories" in s) for k, s in seen.items()}
+    sets = value_set(df, "k", "v")
+    assert {r["k"]: r["v"] for r in sets.collect()} == {k: ",".join(sorted(s)) for k, s in seen.items()}
+    for agg in (flags, sets):
+        plan = agg._jdf.queryExecution().executedPlan().toString()
+        assert "partial_" in plan, plan
