@@ -129,3 +129,24 @@ def test_presence_flags_and_value_set_hot_key(spark):
     for agg in (flags, sets):
         plan = agg._jdf.queryExecution().executedPlan().toString()
         assert "partial_" in plan, plan
+
+
+def test_latest_per_key_hot_key_vs_brute_force(spark):
+    """A key with a third of the rows; NULL times sort last; the group limit runs before the shuffle."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        k = "hot" if i % 3 == 0 else f"r{rnd.randint(0, 200)}"
+        t = None if rnd.random() < 0.2 else rnd.randint(0, 50)
+        rows.append((k, t, rnd.randint(0, 5), i))
+    df = spark.createDataFrame(rows, "k string, t int, seq int, id int").repartition(6)
+    order = [F.col("t").desc_nulls_last(), F.col("seq").asc_nulls_last(), F.col("id").asc()]
+    got = latest_per_key(df, ["k"], order)
+    best = {}
+    for k, t, seq, i in rows:
+        rank = (t is None, -(t or 0), seq, i)
+        if k not in best or rank < best[k][0]:
+            best[k] = (rank, i)
+    assert {r["k"]: r["id"] for r in got.collect()} == {k: v[1] for k, v in best.items()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan, plan
