@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,17 @@ from orderlens.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers import this package from where the driver has it, besides their own path."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
