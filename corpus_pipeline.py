@@ -9,10 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import bpe, mixing, pii
+from orderlens.llm import bpe, minhash, mixing, pii, quality
 from orderlens.llm.common import stored, table
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return minhash.drop_near_duplicates(docs)
+
+
 def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind; every document stays."""
     return pii.mask_pii(docs)
@@ -29,6 +39,8 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", good),
+    ("near-dedup", distinct),
     ("pii", mask),
     ("mixing", mix),
     ("bpe", tokenize),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlens.llm import bpe, minhash, mixing, pii, token_count
+from orderlens.llm import bpe, minhash, mixing, pii, quality, token_count
 from orderlens.llm.common import table
 from orderlens.llm.oracles import ORACLES  # noqa: F401
 
@@ -19,6 +19,11 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("set_id")
 
 
+@query
+def op2_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
