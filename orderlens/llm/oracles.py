@@ -37,3 +37,19 @@ SELECT doc_id, size, source_size, target,
        CAST((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM drawn
 """
+
+ORACLES["op5_warc"] = r"""
+WITH digests AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+bases AS (
+  SELECT page_id, payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1) FOR i IN range(0, 32)], '') AS payload_digest
+  FROM digests),
+newest AS (
+  SELECT payload_digest, payload_bytes, max(page_id) AS newest FROM bases GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM bases JOIN newest USING (payload_digest, payload_bytes)
+"""

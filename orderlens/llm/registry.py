@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlens.llm import bpe, minhash, mixing, pii, quality, token_count
+from orderlens.llm import bpe, minhash, mixing, pii, quality, token_count, warc
 from orderlens.llm.common import table
 from orderlens.llm.oracles import ORACLES  # noqa: F401
 
@@ -34,6 +34,11 @@ def op4_token_counts(spark, sf_dir):
     return token_count.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_pii(spark, sf_dir):
     return pii.pii_counts(table(spark, sf_dir, "documents"))
