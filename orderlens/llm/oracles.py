@@ -53,3 +53,16 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> newest THEN newest END AS refers_to
 FROM bases JOIN newest USING (payload_digest, payload_bytes)
 """
+
+ORACLES["op8_top_k"] = r"""
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM rows q JOIN rows c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM scored)
+SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
+"""

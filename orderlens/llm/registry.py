@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlens.llm import bpe, minhash, mixing, pii, quality, token_count, warc
+from orderlens.llm import ann, bpe, minhash, mixing, pii, quality, token_count, topk, warc
 from orderlens.llm.common import table
 from orderlens.llm.oracles import ORACLES  # noqa: F401
 
@@ -47,3 +47,13 @@ def op6_pii(spark, sf_dir):
 @query
 def op7_mixing(spark, sf_dir):
     return mixing.taken_words(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query
+def op8_top_k(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_prefix_forest(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"))

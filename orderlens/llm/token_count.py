@@ -26,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,6 +80,17 @@ def _deal(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int, specials:
                 ).select(names)
 
 
+def _stable(text: str, encoding, start: int, end: int, offset: int) -> list[dict[str, int]]:
+    """The token boundaries in [start, end) that have a non-space character before and a space after."""
+    marks = []
+    for at in range(max(start, 1), min(end, len(text))):
+        if text[at] in SPACE and not text[at - 1].isspace():
+            token = encoding.char_to_token(at)
+            if token is not None and encoding.token_to_chars(token)[0] == at:
+                marks.append({"at": offset + at, "before": token})
+    return marks
+
+
 def _encode_chunks(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int, tokenizer: str) -> Iterator[pa.RecordBatch]:
     """Per chunk its number of tokens and, for both overlaps, the stable token boundaries as
     (position in the document, number of the chunk's tokens before it)."""
@@ -92,23 +102,16 @@ def _encode_chunks(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int,
         for s in steps([len(r["text"]) for r in rows], 1 << 20):
             encodings = tok.encode_batch([r["text"] for r in rows[s]], add_special_tokens=False)
             for r, e in zip(rows[s], encodings):
-                text, offset = r["text"], r["offset"]
-                starts = np.array([a for a, _ in e.offsets], np.int64)
-                # tokens that begin with a space character after a non-space one
-                stable = [
-                    (offset + a, i)
-                    for i, a in enumerate(starts.tolist())
-                    if 0 < a < len(text) and text[a] in SPACE and not text[a - 1].isspace() and (i == 0 or starts[i - 1] < a)
-                ]
-                if r["k"]:
-                    stable = stable[1:]  # the first one ends what may be half a piece
-                left, right = r["k"] * chunk + overlap, (r["k"] + 1) * chunk - overlap
+                left = r["k"] * chunk + overlap - r["offset"]  # where the overlaps end and begin in this chunk
+                right = (r["k"] + 1) * chunk - overlap - r["offset"]
+                left_marks = _stable(r["text"], e, 0, left + 1, r["offset"])[1:] if r["k"] else []
+                right_marks = [] if r["last"] else _stable(r["text"], e, right, len(r["text"]), r["offset"])
                 out["digest"].append(r["digest"])
                 out["k"].append(r["k"])
                 out["last"].append(r["last"])
                 out["n"].append(len(e))
-                out["left"].append([{"at": a, "before": i} for a, i in stable if a <= left] if r["k"] else [])
-                out["right"].append([] if r["last"] else [{"at": a, "before": i} for a, i in stable if a >= right])
+                out["left"].append(left_marks)
+                out["right"].append(right_marks)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(out["digest"], pa.string()),
