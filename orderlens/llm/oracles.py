@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from orderlens.llm.licenses import CUT, LOWER, RULES, SENTENCES, UPPER
+
 ORACLES: dict[str, str] = {}
 
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
 ORACLES["op7_mixing"] = r"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
@@ -66,3 +72,29 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM scored)
 SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
 """
+
+# the sentences and rules are the operator's fixed values; how they are applied is written here anew
+ORACLES["op9_licenses"] = f"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split_regex(coalesce(text, ''), {_text(CUT)}) AS piece FROM documents),
+lines AS (
+  SELECT r, generate_subscripts(piece, 1) AS spot, unnest(piece) AS piece FROM pieces),
+plain AS (
+  SELECT r, spot, trim(regexp_replace(translate(piece, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')) AS s FROM lines),
+known AS (
+  SELECT * FROM (VALUES {", ".join(f"({i}, {_text(n)}, {_text(p)})" for i, (n, p) in enumerate(SENTENCES.items()))}) t(place, name, pattern)),
+hits AS (
+  SELECT r, count(*) AS n, string_agg(name, ' ' ORDER BY spot, place) AS names,
+         string_agg('<' || name || '>', '' ORDER BY spot, place) AS line
+  FROM plain JOIN known ON regexp_matches(s, pattern) GROUP BY r),
+parts AS (
+  SELECT r, unnest(regexp_extract_all(line, {_text("|".join(f"({x})" for _, x in RULES))})) AS part,
+         generate_subscripts(regexp_extract_all(line, {_text("|".join(f"({x})" for _, x in RULES))}), 1) AS spot FROM hits),
+named AS (
+  SELECT r, spot, CASE {" ".join(f"WHEN regexp_full_match(part, {_text(x)}) THEN {_text(n)}" for n, x in RULES)} END AS license FROM parts),
+firsts AS (SELECT r, license, min(spot) AS spot FROM named GROUP BY r, license),
+listed AS (SELECT r, count(*) AS n, string_agg(license, ',' ORDER BY spot) AS licenses FROM firsts GROUP BY r)
+SELECT doc_id, CAST(coalesce(h.n, 0) AS BIGINT) AS n_sentences, coalesce(h.names, '') AS sentence_ids,
+       CAST(coalesce(l.n, 0) AS BIGINT) AS n_licenses, coalesce(l.licenses, '') AS licenses
+FROM pieces p LEFT JOIN hits h ON h.r = p.r LEFT JOIN listed l ON l.r = p.r
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlens.llm import ann, bpe, minhash, mixing, pii, quality, token_count, topk, warc
+from orderlens.llm import ann, bpe, licenses, minhash, mixing, pii, quality, token_count, topk, warc
 from orderlens.llm.common import table
 from orderlens.llm.oracles import ORACLES  # noqa: F401
 
@@ -54,6 +54,11 @@ def op8_top_k(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op9_licenses(spark, sf_dir):
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_prefix_forest(spark, sf_dir):
     return ann.search(table(spark, sf_dir, "embeddings"))
