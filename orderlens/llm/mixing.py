@@ -55,8 +55,9 @@ def source_rates(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_rate: i
     weight_left = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     level = (F.sum("source_size").over(every) - before) / weight_left
     levelled = weighed.withColumn("_level", level)
-    # the first source whose cap isn't below its share sets the common level of all later ones
-    open_level = F.min(F.when(F.col("cap") >= F.col("_level") * F.col("weight"), F.col("_level"))).over(every)
+    # the first source whose cap isn't below its share sets the common level of all later ones; from
+    # there on, taking out a source that needs no cap only lowers the level, so that it's the largest
+    open_level = F.max(F.when(F.col("cap") >= F.col("_level") * F.col("weight"), F.col("_level"))).over(every)
     share = open_level * F.col("weight")
     capped = F.col("cap") < share
     target = F.when(capped, F.col("cap").cast("double")).otherwise(share)

@@ -26,7 +26,7 @@ levels AS (
                - (SELECT CAST(coalesce(sum(cap), 0) AS BIGINT) FROM lined b WHERE b.place < l.place))
               / (SELECT CAST(sum(weight) AS BIGINT) FROM lined r WHERE r.place >= l.place) AS level
   FROM lined l),
-shared AS (SELECT min(level) AS level FROM levels WHERE cap >= level * weight),
+shared AS (SELECT arg_min(level, place) AS level FROM levels WHERE cap >= level * weight),
 targets AS (
   SELECT source, source_size, cap,
          CASE WHEN cap < shared.level * weight THEN CAST(cap AS DOUBLE) ELSE shared.level * weight END AS target
