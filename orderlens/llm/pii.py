@@ -305,5 +305,5 @@ def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def pii_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row of ``docs``."""
     found = find_pii(docs)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    counts = [F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
     return found.select("doc_id", *counts, "base_sha256", F.col("spans_text").alias("spans"))
