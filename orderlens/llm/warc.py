@@ -179,6 +179,8 @@ def write_archives(pages: DataFrame, folder: str, shard_ids: int = SHARD_IDS, ro
         payload.alias("html"),
         F.lit(None).cast("long").alias("newest"),
     )
+    store, root = _filesystem(folder)
+    store.create_dir(f"{root}/_temporary", recursive=True)  # also if there is no page to write
     # ids and digests alone; equal payloads meet by digest and length
     keys = stored(rows.select("shard", "page_id", "digest", F.octet_length("html").alias("length")), "warc-keys")
     newest = stored(
@@ -196,7 +198,6 @@ def write_archives(pages: DataFrame, folder: str, shard_ids: int = SHARD_IDS, ro
     staged = stored(dealt.mapInArrow(lambda b: _write(b, folder, roll), MANIFEST), "warc-staged")
     manifest = f"{folder}/manifest"
     staged.repartition("name").mapInArrow(lambda b: _move(b, folder), MANIFEST).write.parquet(manifest)
-    store, root = _filesystem(folder)
     store.delete_dir(f"{root}/_temporary")
     return spark.read.schema(MANIFEST).parquet(manifest)
 
