@@ -5,7 +5,6 @@ Layout:
   functions/  Column expressions: time helpers and the classification rules
   operators/  reusable DataFrame operators (latest row, windowed join, NOT IN, union)
   plans/      the report chain as DataFrame -> DataFrame stages, plus sinks
-  streaming/  intentionally empty (the report is a batch job)
 """
 
 from orderlens.sources.inputs import Inputs  # noqa: F401

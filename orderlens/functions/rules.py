@@ -182,3 +182,8 @@ def shop_name_combined(username="username", shop_pos="shop_pos", login="login",
 def null_marked_key(*cols: str | Column) -> Column:
     """``concat(nvl(a,'x'), nvl(b,'x'))``: a never-NULL composite key without delimiter."""
     return F.concat(*[F.coalesce(_c(c), F.lit(NULL_KEY_MARK)) for c in cols])
+
+
+def whole_amount(amount: str) -> Column:
+    """The whole part of an amount, NULL where it is no number (text) or too large."""
+    return F.col(amount).try_cast("double").try_cast("int")

@@ -16,7 +16,8 @@ def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) ->
     become two EXISTS subqueries that stop at the first row.
     """
     keys = right.select(F.col(right_key).alias("_nin_key"))
-    anti = left.join(keys, F.col(left_key) == F.col("_nin_key"), "left_anti")
+    # a key once: repeats collapse in the map-side aggregation, before the exchange
+    anti = left.join(keys.distinct(), F.col(left_key) == F.col("_nin_key"), "left_anti")
     list_has_null = keys.where(F.col("_nin_key").isNull()).exists()
     list_non_empty = keys.exists()
     return anti.where(~list_has_null & (F.col(left_key).isNotNull() | ~list_non_empty))

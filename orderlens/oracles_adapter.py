@@ -12,7 +12,7 @@ order_head AS (
          CASE o_orderpriority WHEN '1-URGENT' THEN 'Provide' WHEN '3-MEDIUM' THEN 'Migration'
               WHEN '4-NOT SPECIFIED' THEN 'Disconnect' ELSE 'Modify' END AS x_sub_type,
          CASE WHEN o_orderstatus = 'O' THEN 'Open' ELSE 'Complete' END AS status_cd,
-         CAST(o_custkey % 50 AS VARCHAR) AS created_by,
+         CAST(o_custkey AS VARCHAR) AS created_by,
          CASE WHEN o_orderstatus = 'F' THEN 'Complete' ELSE 'Pending' END AS x_sub_status
   FROM orders),
 order_ext_2 AS (
@@ -35,7 +35,7 @@ order_item AS (
   SELECT fx_row_id AS row_id,
          CAST(l_orderkey AS VARCHAR) AS order_id,
          CAST(l_partkey AS VARCHAR) AS prod_id,
-         CAST(o_custkey % 150 AS VARCHAR) AS serv_accnt_id,
+         CAST(o_custkey AS VARCHAR) AS serv_accnt_id,
          CASE l_returnflag WHEN 'A' THEN 'Add' WHEN 'R' THEN 'Delete' WHEN 'N' THEN 'Update' END AS action_cd,
          CASE WHEN l_partkey % 10 = 9 THEN 'Pending' ELSE 'Complete' END AS status_cd,
          l_extendedprice AS net_pri,
@@ -46,7 +46,6 @@ order_item_om AS (
   SELECT fx_row_id AS row_id,
          CASE WHEN l_partkey % 17 = 0 THEN CAST(NULL AS TIMESTAMP)
               ELSE l_shipdate + to_seconds(l_partkey) END AS last_upd,
-         l_suppkey AS upd_seq,
          fx_created AS service_start_dt,
          CASE WHEN l_linenumber <= 4
               THEN fx_created + to_days(CAST(trunc(l_quantity * 7 - 100) AS INTEGER)) END AS service_end_dt
@@ -60,10 +59,10 @@ product_crm AS (
 dim_product AS (
   SELECT CAST(p_partkey AS VARCHAR) AS productid,
          replace(replace(p_name, 'hot', 'temp'), 'red', 'prepaid') AS productname,
-         p_type AS stcservicetype
+         p_type AS service_type
   FROM part),
 dim_article AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS productid,
+  SELECT CASE WHEN p_size = 7 THEN p_brand || '-' || CAST(p_partkey AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) END AS productid,
          p_name AS productname,
          p_name AS commercialproductname,
          CASE p_type WHEN 'LARGE' THEN 'Device' WHEN 'MEDIUM' THEN 'Accessories' WHEN 'PROMO' THEN 'Other'
@@ -72,8 +71,7 @@ dim_article AS (
          p_name AS description,
          CASE WHEN p_size % 9 = 0 THEN CAST(NULL AS FLOAT) ELSE CAST((p_size % 5) * 10 AS FLOAT) END AS facevalue,
          CAST(p_size AS INTEGER) AS level3_order
-  FROM part
-  WHERE NOT starts_with(p_name, 'new ')),
+  FROM part),
 dim_shop AS (
   SELECT n_name AS shopname,
          'Area ' || CAST(n_regionkey AS VARCHAR) AS area,
@@ -122,10 +120,9 @@ pos_sale AS (
          '973' || CAST(user_id AS VARCHAR) AS msisdn
   FROM events),
 pos_order AS (
-  SELECT CAST(event_id AS VARCHAR) AS journal_id,
+  SELECT CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS journal_id,
          CAST(event_id AS VARCHAR) AS crm_order,
          json_extract_string(props, '$.k') AS articleno,
          ts AS order_completion_date
-  FROM events
-  WHERE "value" >= 60.0)
+  FROM events)
 """

@@ -17,25 +17,22 @@ from orderlens.sources.inputs import Inputs
 STAGE_ORDER = ["unique_products", "base", "delete_enriched", "level1", "report", "report_cash"]
 
 
-def run_report(spark: SparkSession, inp: Inputs, start: str, out_dir: str, tz: str = LOCAL_TZ,
-               resume: bool = False) -> dict[str, str]:
+def run_report(spark: SparkSession, inp: Inputs, start: str, out_dir: str, tz: str = LOCAL_TZ) -> dict[str, str]:
     """Build and write all six stages under ``out_dir``; returns stage name -> path.
 
-    With ``resume`` a stage whose folder holds a committed write (``_SUCCESS``) from an
-    earlier, interrupted run of the same inputs is read back instead of rebuilt.
-    """
+    Every run rebuilds every stage, so that a folder never mixes two periods or two states of
+    the inputs."""
     out = out_dir.rstrip("/")
     paths = {name: f"{out}/{name}" for name in STAGE_ORDER}
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        if not (resume and sinks.is_committed(spark, paths[name])):
-            sinks.write_stage(df, paths[name])
+        sinks.write_stage(df, paths[name])
         return sinks.read_stage(spark, paths[name])
 
     put("unique_products", stages.unique_products(inp, start, tz))
     b = put("base", stages.base(inp, start, tz))
     de = put("delete_enriched", stages.delete_enriched(b))
     l1 = put("level1", stages.level1(de))
-    rpt = put("report", stages.report(de, l1, inp, tz))
+    rpt = put("report", stages.report(de, l1, inp, tz, start))
     put("report_cash", stages.report_cash(rpt, inp, start))
     return paths

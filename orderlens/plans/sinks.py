@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_stage(df: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Replace the stage at ``path`` (overwrite = DROP + CREATE; on failure re-run the stage).
-
-    ``partitions`` optionally caps the number of output files via a final coalesce."""
-    out = df.coalesce(partitions) if partitions else df
-    out.write.mode("overwrite").parquet(path)
+def write_stage(df: DataFrame, path: str) -> None:
+    """Replace the stage at ``path`` (overwrite = DROP + CREATE; on failure re-run the stage)."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
@@ -24,12 +20,3 @@ def save_table(df: DataFrame, table: str, path: str | None = None) -> None:
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
-
-
-def is_committed(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a completed write (the ``_SUCCESS`` marker of the commit)."""
-    try:
-        spark.read.format("text").load(path.rstrip("/") + "/_SUCCESS")
-    except AnalysisException:
-        return False
-    return True

@@ -122,14 +122,14 @@ def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
     orders = _orders_in_scope(inp, start, tz).select(F.col("row_id").alias("_ord_id"))
     # the subscriber and order joins only filter (the result is DISTINCT): semi joins
     sold = (
-        lines.join(subs, F.col("serv_accnt_id") == F.col("_sub_id"), "left_semi")
-        .join(orders, F.col("order_id") == F.col("_ord_id"), "left_semi")
+        lines.join(orders, F.col("order_id") == F.col("_ord_id"), "left_semi")
+        .join(subs, F.col("serv_accnt_id") == F.col("_sub_id"), "left_semi")
         .select("prod_id")
         .distinct()
     )
     prod = inp.dim_product.select(
         F.col("productid").alias("_p_id"), F.col("productname").alias("product"),
-        F.col("stcservicetype").alias("product_type"),
+        F.col("service_type").alias("product_type"),
     )
     return (
         sold.join(prod, F.col("prod_id") == F.col("_p_id"), "left")
@@ -145,7 +145,6 @@ def latest_service_dates(inp: Inputs) -> DataFrame:
         ["row_id"],
         [
             F.col("last_upd").desc_nulls_last(),
-            F.col("upd_seq").asc_nulls_last(),
             F.col("service_start_dt").asc_nulls_last(),
             F.col("service_end_dt").asc_nulls_last(),
         ],
@@ -163,7 +162,6 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
         F.col("par_order_item_id").alias("parentorderitemrowid"),
         "asset_integ_id",
     )
-    lines = individual_lines(inp, lines)
     orders = _orders_in_scope(inp, start, tz).select(
         F.col("row_id").alias("_ord_id"),
         F.col("order_num").alias("orderid"),
@@ -172,6 +170,17 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
         F.col("status_cd").alias("orderstatus"),
         F.col("created_by").alias("_ord_user"),
     )
+    usr = inp.dim_user.select(F.col("userid").alias("_usr_id"), "login", "username")
+    ord2 = inp.order_ext_2.select(
+        F.col("row_id").alias("_ord2_id"),
+        F.col("x_shop_id").alias("shopname"),
+        F.col("x_mena_user").alias("menaidentifier"),
+        "x_channel",
+    )
+    # the order's extension and user are joined at order grain, before the lines multiply the rows
+    orders = orders.join(ord2, F.col("_ord_id") == F.col("_ord2_id"), "left").join(
+        usr, F.col("_ord_user") == F.col("_usr_id"), "left"
+    )
     om = latest_service_dates(inp).select(
         F.col("row_id").alias("_om_id"),
         F.col("service_start_dt").alias("servicestartdate"),
@@ -183,29 +192,19 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
         F.col("body_style_cd").alias("crmproducttype"),
         F.col("part_num").alias("productpartnumber"),
     )
-    usr = inp.dim_user.select(F.col("userid").alias("_usr_id"), "login", "username")
-    ord2 = inp.order_ext_2.select(
-        F.col("row_id").alias("_ord2_id"),
-        F.col("x_shop_id").alias("shopname"),
-        F.col("x_mena_user").alias("menaidentifier"),
-        "x_channel",
-    )
     article = inp.dim_article.where(F.col("level3") != R.EXCLUDE).select(
         F.col("productid").alias("_art_id"),
         "level3", "level4", F.col("facevalue").cast("double").alias("facevalue"), "level3_order", "description",
     )
-    # Join order: joins on the same key sit next to each other so that, when AQE does not
-    # broadcast a side (it does whenever the measured size is under the threshold), one
-    # exchange of the line stream serves both: the filtering article join and the product
-    # join on prod_id, the order join and its extension on the order key.  The line-keyed
-    # join to the latest service dates reuses the window's exchange on row_id.
+    # Join order: the orders of the period come first, as lines have no date of their own and nothing
+    # else cuts their history as much; then the subscribers, and last the joins on the product and on
+    # the line.  A hot product is split by AQE (spark.sql.adaptive.forceOptimizeSkewedJoin): both
+    # joins on prod_id share one exchange, which AQE doesn't split by default.
+    scoped = individual_lines(inp, lines.join(orders, F.col("order_id") == F.col("_ord_id"), "inner"))
     joined = (
-        lines.join(article, F.col("prod_id") == F.col("_art_id"), "inner")
+        scoped.join(article, F.col("prod_id") == F.col("_art_id"), "inner")
         .join(prod, F.col("prod_id") == F.col("_prod_id"), "left")
-        .join(orders, F.col("order_id") == F.col("_ord_id"), "inner")
-        .join(ord2, F.col("_ord_id") == F.col("_ord2_id"), "left")
         .join(om, F.col("row_id") == F.col("_om_id"), "left")
-        .join(usr, F.col("_ord_user") == F.col("_usr_id"), "left")
     )
     return joined.select(
         local_time("contractstartdate", tz).alias("transactiondate"),
@@ -385,13 +384,19 @@ def dealers(inp: Inputs) -> DataFrame:
     return head.join(ext, F.col("_dh_id") == F.col("_dx_id"), "inner").select("_dealer_order", "dealer")
 
 
-def pos_within_window(lines: DataFrame, inp: Inputs, tz: str = LOCAL_TZ) -> DataFrame:
+def pos_within_window(lines: DataFrame, inp: Inputs, tz: str = LOCAL_TZ, start: str | None = None) -> DataFrame:
     """Every POS sale of the line's subscriber less than 600 minutes from the order time.
 
     The order time is local already and is shifted to local time once more before the
-    comparison (the report compares it this way); the gap is in whole seconds.
+    comparison (the report compares it this way); the gap is in whole seconds.  Where all lines
+    are of ``start`` or later, sales more than a day before it can't match: a zone is at most 12
+    hours behind, the gap under 10.  That bound reaches the scan of the sales.
     """
-    sale = inp.pos_sale.select(
+    sales = inp.pos_sale
+    if start is not None:
+        bound = F.lit(start).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(1))
+        sales = sales.where(F.col("transaction_date") >= bound)
+    sale = sales.select(
         F.col("subscriberid").alias("_ps_sub"),
         F.col("transaction_date").alias("pos_timestamp"),
         F.col("agentid").alias("agent_pos_subid"),
@@ -407,14 +412,14 @@ def pos_within_window(lines: DataFrame, inp: Inputs, tz: str = LOCAL_TZ) -> Data
     ).drop("_ps_sub")
 
 
-def report(de: DataFrame, lvl1: DataFrame, inp: Inputs, tz: str = LOCAL_TZ) -> DataFrame:
+def report(de: DataFrame, lvl1: DataFrame, inp: Inputs, tz: str = LOCAL_TZ, start: str | None = None) -> DataFrame:
     tags = order_level1(lvl1).select(F.col("orderid").alias("_tag_order"), "level1")
     joined = (
         de.join(tags, F.col("orderid") == F.col("_tag_order"), "left")
         .join(pos_by_journal(inp), F.col("orderid") == F.col("_pos_order"), "left")
         .join(dealers(inp), F.col("orderid") == F.col("_dealer_order"), "left")
     )
-    joined = pos_within_window(joined, inp, tz)
+    joined = pos_within_window(joined, inp, tz, start)
     return joined.select(
         "level1",
         R.level2().alias("level2"),
@@ -461,7 +466,7 @@ def cash_rows(inp: Inputs, start: str) -> DataFrame:
         _null("timestamp_ntz").alias("contractstartdate"),
         F.col("articlename").alias("product"),
         e.alias("old_product_name"),
-        F.col("item_total_amount").cast("int").cast("double").alias("netprice"),
+        R.whole_amount("item_total_amount").cast("double").alias("netprice"),
         F.lit(0.0).alias("old_netprice"),
         e.alias("ordertype"),
         e.alias("actioncd"),
@@ -515,7 +520,7 @@ def run_chain(inp: Inputs, start: str, tz: str = LOCAL_TZ,
     b = keep("base", base(inp, start, tz))
     de = keep("delete_enriched", delete_enriched(b))
     l1 = level1(de)
-    rpt = report(de, l1, inp, tz)
+    rpt = report(de, l1, inp, tz, start)
     return {
         "unique_products": unique_products(inp, start, tz),
         "base": b,

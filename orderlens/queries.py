@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import rules as R
 from orderlens.functions.timefn import (
+    LOCAL_TZ,
     contract_months,
     days_between,
     local_date,
@@ -177,7 +178,7 @@ def filter_not_exclude(spark, sf_dir):
 @query
 def filter_local_date_from(spark, sf_dir):
     oh = _inp(spark, sf_dir).order_head
-    return oh.where(on_or_after(local_date("created"), FIXTURE_START)).select(
+    return oh.where(stages._since_local("created", FIXTURE_START, LOCAL_TZ)).select(
         "row_id", "created", local_time("created").alias("transactiondate")
     )
 
@@ -340,7 +341,7 @@ def join_pos_by_journal(spark, sf_dir):
 @query
 def join_pos_within_10h(spark, sf_dir):
     inp = _inp(spark, sf_dir)
-    return stages.pos_within_window(stages.delete_enriched(stages.base(inp, FIXTURE_START)), inp).select(
+    return stages.pos_within_window(stages.delete_enriched(stages.base(inp, FIXTURE_START)), inp, start=FIXTURE_START).select(
         "orderid", "subscriberid", "transactiondate", "agent_pos_subid", "shop_pos_subid", "pos_timestamp"
     )
 
@@ -409,7 +410,7 @@ def distinct_products(spark, sf_dir):
     inp = _inp(spark, sf_dir)
     prod = inp.dim_product.select(
         F.col("productid").alias("_p_id"), F.col("productname").alias("product"),
-        F.col("stcservicetype").alias("product_type"),
+        F.col("service_type").alias("product_type"),
     )
     return (
         inp.order_item.join(prod, F.col("prod_id") == F.col("_p_id"), "left")
@@ -481,7 +482,7 @@ def fn_contract_months(spark, sf_dir):
 
 @query
 def fn_cast_int(spark, sf_dir):
-    return _inp(spark, sf_dir).pos_sale.select("journal_id", F.col("item_total_amount").cast("int").alias("netprice"))
+    return _inp(spark, sf_dir).pos_sale.select("journal_id", R.whole_amount("item_total_amount").alias("netprice"))
 
 
 @query

@@ -27,10 +27,8 @@ ARTICLE_GROUP_BY_EVENT = {
     "signup": "Handset",
     "view": "Plan",
 }
-SUBSCRIBER_ACCOUNTS = 150  # service accounts orders are booked on
-SALES_USERS = 50  # CRM users who create orders
-POS_ORDER_MIN_VALUE = 60.0  # POS sales of at least this value carry an order-detail record
-NEW_PART_PREFIX = "new "  # parts named "new ..." are not yet in the article reference file
+UNLISTED_PART_SIZE = 7  # parts of this size are in the article file under a number that no line carries
+UNTRACKED_EVENT = "error"  # order details of these POS sales carry no journal id
 # -------------------------------------------------------------------------------------------
 
 
@@ -73,7 +71,7 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Inputs:
         _created(ok).alias("created"),
         _map("o_orderpriority", SUB_TYPE_BY_PRIORITY, SUB_TYPE_OTHER).alias("x_sub_type"),
         F.when(F.col("o_orderstatus") == "O", "Open").otherwise("Complete").alias("status_cd"),
-        _s(F.col("o_custkey") % SALES_USERS).alias("created_by"),
+        _s("o_custkey").alias("created_by"),
         F.when(F.col("o_orderstatus") == "F", "Complete").otherwise("Pending").alias("x_sub_status"),
     )
     order_ext_2 = orders.select(
@@ -98,7 +96,7 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Inputs:
         line_row_id.alias("row_id"),
         _s("l_orderkey").alias("order_id"),
         _s("l_partkey").alias("prod_id"),
-        _s(F.col("o_custkey") % SUBSCRIBER_ACCOUNTS).alias("serv_accnt_id"),
+        _s("o_custkey").alias("serv_accnt_id"),
         _map("l_returnflag", ACTION_BY_RETURNFLAG, None).alias("action_cd"),
         F.when(F.col("l_partkey") % 10 == 9, "Pending").otherwise("Complete").alias("status_cd"),
         F.col("l_extendedprice").alias("net_pri"),
@@ -111,7 +109,6 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Inputs:
         F.when(F.col("l_partkey") % 17 == 0, F.lit(None).cast("timestamp_ntz"))
         .otherwise(F.col("l_shipdate") + F.make_dt_interval(secs=F.col("l_partkey")))
         .alias("last_upd"),
-        F.col("l_suppkey").alias("upd_seq"),
         F.col("_created").alias("service_start_dt"),
         F.when(
             F.col("l_linenumber") <= 4,
@@ -129,10 +126,11 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Inputs:
     dim_product = part.select(
         _s("p_partkey").alias("productid"),
         product_name.alias("productname"),
-        F.col("p_type").alias("stcservicetype"),
+        F.col("p_type").alias("service_type"),
     )
-    dim_article = part.where(~F.col("p_name").startswith(NEW_PART_PREFIX)).select(
-        _s("p_partkey").alias("productid"),
+    dim_article = part.select(
+        F.when(F.col("p_size") == UNLISTED_PART_SIZE, F.concat("p_brand", F.lit("-"), _s("p_partkey")))
+        .otherwise(_s("p_partkey")).alias("productid"),
         F.col("p_name").alias("productname"),
         F.col("p_name").alias("commercialproductname"),
         _map("p_type", LEVEL3_BY_PART_TYPE, LEVEL3_OTHER).alias("level3"),
@@ -194,8 +192,8 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Inputs:
         F.concat(F.lit("Agent "), _s(uk % 20)).alias("agent_firstname"),
         F.concat(F.lit("973"), _s(uk)).alias("msisdn"),
     )
-    pos_order = events.where(F.col("value") >= POS_ORDER_MIN_VALUE).select(
-        _s(ek).alias("journal_id"),
+    pos_order = events.select(
+        F.when(F.col("event_type") == UNTRACKED_EVENT, F.lit(None).cast("string")).otherwise(_s(ek)).alias("journal_id"),
         _s(ek).alias("crm_order"),
         article_no.alias("articleno"),
         F.col("ts").alias("order_completion_date"),

@@ -33,7 +33,7 @@ def _canon(v) -> str:
         return "∅"
     if isinstance(v, float):
         if math.isnan(v):
-            return "∅"
+            return "NaN"
         return repr(float(v))
     if isinstance(v, decimal.Decimal):
         return repr(float(v))

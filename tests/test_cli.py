@@ -31,16 +31,15 @@ def test_cli_runs_report_from_stored_inputs(spark, sf_dir, tmp_path):
     assert Counter(tuple(r) for r in got.collect()) == Counter(tuple(r) for r in want.collect())
 
 
-def test_resume_reuses_committed_stages(spark, sf_dir, tmp_path):
-    from orderlens.plans import sinks
+def test_run_into_a_used_folder_is_a_full_rebuild(spark, sf_dir, tmp_path):
     from orderlens.plans.pipeline import run_report
 
     inp = from_testdata(spark, sf_dir)
-    out = str(tmp_path / "run")
-    paths = run_report(spark, inp, FIXTURE_START, out)
-    assert all(sinks.is_committed(spark, p) for p in paths.values())
-    before = spark.read.parquet(paths["report_cash"]).count()
-    # a resumed run over a complete folder rebuilds nothing and returns the same tables
-    assert run_report(spark, inp, FIXTURE_START, out, resume=True) == paths
-    assert spark.read.parquet(paths["report_cash"]).count() == before
-    assert not sinks.is_committed(spark, str(tmp_path / "missing"))
+    used, fresh = str(tmp_path / "used"), str(tmp_path / "fresh")
+    run_report(spark, inp, FIXTURE_START, used)
+    later = "2024-01-20"
+    rows = [
+        Counter(tuple(r) for r in spark.read.parquet(run_report(spark, inp, later, out)["report_cash"]).collect())
+        for out in (used, fresh)
+    ]
+    assert rows[0] == rows[1]
