@@ -1,6 +1,7 @@
 """Token counts, with overlap resynchronisation for huge documents.
 
-A document of at most ``chunk`` characters is encoded whole.  A longer one is dealt out as
+A document of at most ``chunk`` characters is encoded whole, by the codec of ``bpe``, which gives the
+library's ids and keeps a table of the fragments it has met.  A longer one is dealt out as
 overlapping chunks, which may be encoded in different tasks: chunk k owns the characters from
 ``k * chunk`` and is encoded with ``overlap`` more on either side, with offsets.  Where two
 neighbours overlap, both report the token boundaries there that are provably stable, and the two
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.bpe import TOKENIZER, load, steps, tokenizer_path
+from orderlens.llm.bpe import TOKENIZER, codec, load, steps, tokenizer_path
 from orderlens.llm.common import stored
 
 #: characters that a chunk owns, and that it shares with each neighbour at first
@@ -48,12 +49,12 @@ def _tokenizer(path: str):
 
 
 def _counts(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
-    tok, _ = _tokenizer(tokenizer_path(tokenizer))
+    encoder = codec(tokenizer_path(tokenizer))
     for batch in batches:
         texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
         counts: list[int] = []
         for s in steps([len(t) for t in texts], 1 << 20):
-            counts += [len(e) for e in tok.encode_batch_fast(texts[s], add_special_tokens=False)]
+            counts += [len(ids) // 4 for ids in encoder.encode(texts[s])]
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:-1], pa.array(counts, pa.int64())], [*batch.schema.names[:-1], "n_tokens"]
         )
