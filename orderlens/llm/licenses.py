@@ -8,6 +8,8 @@
    its start on: where several fit, the first rule listed wins, and what a rule has matched is used up.
 
 All of this is done within the row: there is no shuffle, and a row's cost depends on its text only.
+A copyright line's "all rights reserved" belongs to the license text that comes next (BSD texts begin with
+it); elsewhere, also next to a mere reference to a license, it is reported as ``Proprietary``.
 A text without any cue word can't hold a known sentence and is not cut up.
 
 Cases: null and empty texts have no sentences and no licenses; long texts are read whole; repeated rows
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 # ---- fixed values: license names, license sentences and rules over them ----
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CUT = r"[.!?]['\")\]]*[ \t\r\n]+|\n[ \t\r]*\n"
-CUES = r"licen[sc]|redistribut|permission|under|later|public domain|endorse|as is"
+CUES = r"licen[sc]|redistribut|permission|under|later|public domain|endorse|as is|all rights reserved"
 REFERENCE = r"\b(licen[sc]ed|released|distributed|published|available|provided|covered|modify it|use this [a-z]+) under (the )?((terms|conditions) (of|and conditions of) )?(the )?"
 VERSION = r"( licen[sc]e)?( as published by the free software foundation)?( either)?( version| v)? ?"
 GNU = r"(gnu )?"
@@ -63,17 +65,20 @@ SENTENCES = {
     "apache-copy": r"\byou may obtain a copy of the license at\b",
     "apache-as-is": r"\bdistributed under the license is distributed on an as is basis\b",
     "unlicense-free": r"\bthis is free and unencumbered software released into the public domain\b",
+    "all-rights-reserved": r"\ball rights reserved\b",
 }
+HEAD = "(<all-rights-reserved>)*"  # the copyright line that a license text begins with
 RULES = [  # an identifier stands in angle brackets
-    ("MIT", "<mit-grant><mit-notice>(<mit-as-is>)?"),
-    ("ISC", "<isc-grant>(<isc-as-is>)?"),
-    ("BSD-3-Clause", "<bsd-grant><bsd-source><bsd-binary><bsd-endorse>(<bsd-as-is>)?"),
-    ("BSD-2-Clause", "<bsd-grant><bsd-source><bsd-binary>(<bsd-as-is>)?"),
-    ("Apache-2.0", "<names:Apache-2[.]0><apache-comply>(<apache-copy>)?(<apache-as-is>)?"),
-    ("Apache-2.0", "<apache-comply><apache-copy>(<apache-as-is>)?"),
+    ("MIT", HEAD + "<mit-grant><mit-notice>(<mit-as-is>)?"),
+    ("ISC", HEAD + "<isc-grant>(<isc-as-is>)?"),
+    ("BSD-3-Clause", HEAD + "<bsd-grant><bsd-source><bsd-binary><bsd-endorse>(<bsd-as-is>)?"),
+    ("BSD-2-Clause", HEAD + "<bsd-grant><bsd-source><bsd-binary>(<bsd-as-is>)?"),
+    ("Apache-2.0", HEAD + "<names:Apache-2[.]0><apache-comply>(<apache-copy>)?(<apache-as-is>)?"),
+    ("Apache-2.0", HEAD + "<apache-comply><apache-copy>(<apache-as-is>)?"),
     ("Unlicense", "<unlicense-free>"),
     *[(f"{name}-or-later", f"<(names|tag):{name.replace('.', '[.]')}><later-version>") for name in NAMES if "GPL" in name],
     *[(name, f"<(names|tag):{name.replace('.', '[.]')}>") for name in NAMES],
+    ("Proprietary", "<all-rights-reserved>"),
 ]
 # ----------------------------------------------------------------------------
 
