@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick automaton passes over a text and finds the anchors: at-signs, plus signs and
-digits, schemes (``mailto:``, ``://``) and identifier cues (``iban``, ``ssn``, ...).  Each anchor
+digits, schemes (``://``) and identifier cues (``iban``, ``ssn``, ...; in any case).  Each anchor
 is handed to the parser of its kind, which expands to both sides by fixed character classes and
 validates what it has found.  A parser never goes back before the end of the last span
 that it has read, so every character is read a bounded number of times per kind.
@@ -40,7 +40,8 @@ LOCAL = ALNUM | frozenset("._%+-")
 LABEL = ALNUM | frozenset("-")
 PHONE = DIGITS | frozenset(" ().-")
 USERINFO = ALNUM | frozenset("-._~!$&'()*+,;=%:")
-CUES = {"iban": ("IBAN", "iban", "Iban"), "ssn": ("SSN", "ssn", "Ssn", "social security")}
+CUES = {"iban": ("iban",), "ssn": ("ssn", "social security")}  # lower case, as the text that is searched
+AFTER_CUE = ("number", "no.", "is")
 # ---------------------------------------------------------------------------------
 
 
@@ -61,6 +62,13 @@ def _automaton():
     return a
 
 
+def _lowered(text: str) -> str:
+    """``text`` in lower case, every character in its place."""
+    low = text.lower()
+    # a letter that becomes two in lower case would move what follows
+    return low if len(low) == len(text) else "".join(c.lower() if c in LETTERS else c for c in text)
+
+
 def _run(text: str, i: int, allowed: frozenset) -> int:
     """End of the run of allowed characters from ``i``."""
     n = len(text)
@@ -149,39 +157,40 @@ def userinfo(text: str, i: int) -> tuple[int, int] | None:
     return (i, end) if ok else None
 
 
-def _after_cue(text: str, i: int) -> int:
-    """Where the value after a cue may begin: behind a few separators and words like "number"."""
-    end = _run(text, i, frozenset(" :#=\t"))
-    for word in ("number", "no.", "is"):
-        if text.startswith(word, end):
-            end = _run(text, end + len(word), frozenset(" :#=\t"))
-    return end
-
-
-def iban(text: str, i: int) -> tuple[int, int] | None:
-    i = _after_cue(text, i)
-    end, chars = i, []
-    while end < len(text) and len(chars) < 34:
-        if text[end] in ALNUM:
-            chars.append(text[end])
-        elif text[end] != " ":
-            break
-        end += 1
-    value = "".join(chars).upper()
-    # the grouping by spaces hides where the number ends: the longest valid prefix counts
-    for n in range(len(value), 14, -1):
-        v = value[:n]
-        if v[:2].isalpha() and v[2:4].isdigit() and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1:
-            end, seen = i, 0
-            while seen < n:
-                seen += text[end] != " "
-                end += 1
-            return i, end
+def _after_cue(text: str, i: int) -> list[int]:
+    """Where the value after a cue may begin: behind a few separators, and behind words like "number"."""
+    places = [_run(text, i, frozenset(" :#=\t"))]
+    for word in AFTER_CUE:
+        end = places[-1] + len(word)
+        if text[places[-1] : end].lower() == word:
+            places.append(_run(text, end, frozenset(" :#=\t")))
+    return places
+
+
+def iban(text: str, cue: int) -> tuple[int, int] | None:
+    for i in _after_cue(text, cue):  # "IS" is a country, too
+        end, chars = i, []
+        while end < len(text) and len(chars) < 34:
+            if text[end] in ALNUM:
+                chars.append(text[end])
+            elif text[end] != " ":
+                break
+            end += 1
+        value = "".join(chars).upper()
+        # the grouping by spaces hides where the number ends: the longest valid prefix counts
+        for n in range(len(value), 14, -1):
+            v = value[:n]
+            if v[:2].isalpha() and v[2:4].isdigit() and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1:
+                end, seen = i, 0
+                while seen < n:
+                    seen += text[end] != " "
+                    end += 1
+                return i, end
     return None
 
 
-def ssn(text: str, i: int) -> tuple[int, int] | None:
-    i = _after_cue(text, i)
+def ssn(text: str, cue: int) -> tuple[int, int] | None:
+    i = _after_cue(text, cue)[-1]
     v = text[i : i + 11]
     ok = (
         len(v) == 11
@@ -207,7 +216,7 @@ def find(text: str) -> list[Span]:
             found[kind].append(span)
             done[kind] = span[1]
 
-    for end, (anchor, length) in _automaton().iter(text):
+    for end, (anchor, length) in _automaton().iter(_lowered(text)):
         i = end - length + 1
         if anchor == "digit":
             if i >= done["chain"]:

@@ -1,6 +1,8 @@
 """Cases where an operator once did less than the whole job."""
 
-from orderlens.llm import licenses
+import pytest
+
+from orderlens.llm import licenses, pii
 from orderlens.llm.common import table
 from orderlens.llm.registry import QUERIES
 
@@ -36,3 +38,25 @@ def test_all_rights_reserved(spark):
     docs = spark.createDataFrame(list(enumerate(cases)), "doc_id int, text string")
     found = [",".join(sorted(r.licenses.split(","))) for r in sorted(licenses.license_report(docs).collect())]
     assert found == list(cases.values())
+
+
+SSN, IBAN = "123-45-6789", "GB82 WEST 1234 5698 7654 32"
+CUED = [
+    ("Social Security Number: ", "ssn", SSN),
+    ("SOCIAL SECURITY ", "ssn", SSN),
+    ("SSN Number ", "ssn", SSN),
+    ("sSn NO. IS ", "ssn", SSN),
+    ("ssn is ", "ssn", SSN),
+    ("\u0130\u0130 Social Security: ", "ssn", SSN),  # two letters each in lower case
+    ("iBAN Number: ", "iban", IBAN),
+    ("IBAN IS ", "iban", IBAN),
+    ("IBAN ", "iban", "IS14 0159 2600 7654 5510 7303 39"),
+]
+
+
+@pytest.mark.parametrize("cue, kind, value", CUED)
+def test_cues_in_any_case(cue, kind, value):
+    text = f"{cue}{value}, then more"
+    spans = [s for s in pii.find(text) if s[0] == kind]
+    assert spans == [(kind, len(cue), len(cue) + len(value))]
+    assert value not in pii.masked(text, pii.find(text))
