@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.blocks import BLOCK, best, dealt, streamed, valid_vectors
+from orderlens.llm.blocks import BLOCK, asked, best, dealt, streamed, valid_vectors
 from orderlens.llm.common import stored
 
 TREES, BITS, EFFORT, SEED = 64, 32, 0.6, 17
@@ -49,10 +49,10 @@ class PrefixForest:
         sides = ((vectors - self._mean) @ self._planes > 0).reshape(len(vectors), self.trees, self.bits)
         return sides.astype(np.int64) @ (1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64))
 
-    def candidates(self, queries: np.ndarray, effort: float, least: int) -> Iterator[np.ndarray]:
+    def candidates(self, queries: np.ndarray, effort: float, least: np.ndarray) -> Iterator[np.ndarray]:
         """For each query the places of the entries found."""
         codes = self.codes(queries)
-        want = max(effort * self.n, least)
+        want = np.maximum(effort * self.n, least)
         low = np.zeros((self.bits + 1, len(queries), self.trees), np.int64)
         high = np.full_like(low, self.n)
         for length in range(1, self.bits + 1):
@@ -71,12 +71,14 @@ class PrefixForest:
 
 def _nearest(batches: Iterator[pa.RecordBatch], k: int, effort: float) -> Iterator[pa.RecordBatch]:
     forest = None
-    for new, ids, vectors, query_ids, queries, _ in streamed(batches):
+    for new, ids, vectors, query_ids, queries, _ in streamed(batches, k):
         if new or forest is None:
             forest = PrefixForest(vectors)
         out = ([], [], [])
-        # one entry more than k, as the query itself may be among them; times the trees that count it
-        least = (k + 1) * forest.trees
+        # more entries than k, as the rows of the query's own id may be among them; times the trees that count each
+        held, times = np.unique(ids, return_counts=True)
+        place = np.minimum(np.searchsorted(held, query_ids), len(held) - 1)
+        least = (k + np.where(held[place] == query_ids, times[place], 1)) * forest.trees
         for query, vector, places in zip(query_ids, queries, forest.candidates(queries, effort, least)):
             places = places[ids[places] != query]
             difference = vectors[places] - vector
@@ -93,8 +95,8 @@ def _nearest(batches: Iterator[pa.RecordBatch], k: int, effort: float) -> Iterat
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, effort: float = EFFORT, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest ``rows`` found for each of ``queries``, both (id, vec)."""
     blocks = max(1, -(-rows.count() // block))
-    asked = queries.withColumn("cutoff", F.lit(None).cast("double"))
-    found = dealt(rows, asked, blocks).mapInArrow(lambda b: _nearest(b, k, effort), "query_id bigint, vec_id bigint, score double")
+    no_cutoff = asked(queries, k).withColumn("cutoff", F.lit(None).cast("double"))
+    found = dealt(rows, no_cutoff, blocks).mapInArrow(lambda b: _nearest(b, k, effort), "query_id bigint, vec_id bigint, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")).cast("int")
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

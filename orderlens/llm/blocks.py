@@ -1,11 +1,13 @@
 """Vectors in blocks: a stated query set against all rows, without pairs of rows in a shuffle.
 
-Rows are dealt to blocks of a bounded size by a hash of their id, so equal vectors, however many, spread over all
-blocks.  Every block gets all queries after its own rows; a task holds one block at a time and
+Rows are dealt to blocks of a bounded size by a hash of their id and vector, so equal vectors of many ids and
+many vectors of one id spread over all blocks.  Every block gets all queries after its own rows; a task holds one block at a time and
 streams the queries past it.  The rows are shuffled once, the queries once for each block.
 
 Vectors take part if they have an id and at least one component and all components are finite numbers.
-Vectors of different lengths never meet.  Of rows that repeat an id, the least vector counts.
+Vectors of different lengths never meet.  Rows that repeat an id are candidates of their own, or queries
+whose results are ranked together.  Of rows that repeat id and vector, a task holds k at most: no
+ranking of k rows has a place for more.
 """
 
 from __future__ import annotations
@@ -31,9 +33,15 @@ def valid_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
     return rows.select(F.col(id_col).cast("long").alias("id"), vec.cast("array<double>").alias("vec"))
 
 
+def asked(queries: DataFrame, k: int) -> DataFrame:
+    """``queries`` (id, vec), of equal ones ``k`` at most: they go to every block."""
+    copies = F.array_repeat(F.lit(1), F.least("count", F.lit(k)).cast("int"))
+    return queries.groupBy("id", "vec").count().select("id", "vec", F.explode(copies)).select("id", "vec")
+
+
 def dealt(rows: DataFrame, queries: DataFrame, blocks: int) -> DataFrame:
     """Rows (id, vec) and queries (id, vec, cutoff) by block, the rows of a block before its queries."""
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    own = F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     columns = lambda block, query, cutoff: [
         block.alias("block"), F.size("vec").alias("dim"), F.lit(query).alias("query"), "id", "vec", cutoff.alias("cutoff")
@@ -43,9 +51,9 @@ def dealt(rows: DataFrame, queries: DataFrame, blocks: int) -> DataFrame:
     return both.repartition(2 * blocks, "block").sortWithinPartitions("block", "dim", "query", "id", "vec")
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray, np.ndarray, np.ndarray]]:
-    """((block, dim, query), ids, vectors, cutoffs) of consecutive rows, an id once."""
-    last = None
+def _pieces(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[tuple[tuple, np.ndarray, np.ndarray, np.ndarray]]:
+    """((block, dim, query), ids, vectors, cutoffs) of consecutive rows, equal ones ``copies`` times at most."""
+    last, repeats = None, 0
     for batch in batches:
         block, dim, query, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         cutoff = batch.column(5).to_numpy(zero_copy_only=False).astype(float)
@@ -55,18 +63,24 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarr
             key = (int(block[i]), int(dim[i]), bool(query[i]))
             vectors = batch.column(4)[i:j].flatten().to_numpy().reshape(-1, key[1])
             part = ids[i:j]
-            keep = np.concatenate(([(key, part[0]) != last], part[1:] != part[:-1]))
-            last = (key, part[-1])
+            again = np.concatenate(([last is not None and last[:2] == (key, part[0]) and np.array_equal(last[2], vectors[0])], part[1:] == part[:-1]))
+            at = np.flatnonzero(again[1:]) + 1
+            again[at] = (vectors[at] == vectors[at - 1]).all(axis=1)
+            # how many equal rows have come before each
+            places = np.arange(len(part))
+            before = places - np.maximum.accumulate(np.where(again, -1 - repeats, places))
+            keep = before < copies
+            last, repeats = (key, part[-1], vectors[-1].copy()), int(before[-1])
             yield key, part[keep], vectors[keep], cutoff[i:j][keep]
 
 
-def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def streamed(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(whether the block is new, its ids, its vectors, query ids, query vectors, cutoffs)."""
     held: tuple | None = None
     ids: list[np.ndarray] = []
     vectors: list[np.ndarray] = []
     new = False
-    for (block, dim, query), part_ids, part_vectors, cutoffs in _pieces(batches):
+    for (block, dim, query), part_ids, part_vectors, cutoffs in _pieces(batches, copies):
         if not query:
             if held != (block, dim):
                 held, ids, vectors = (block, dim), [], []

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.blocks import BLOCK, best, dealt, streamed, valid_vectors
+from orderlens.llm.blocks import BLOCK, asked, best, dealt, streamed, valid_vectors
 from orderlens.llm.common import stored
 
 SCALE, LISTS = 256, 4
@@ -61,7 +61,7 @@ def _found(query_ids: list, vec_ids: list, scores: list) -> pa.RecordBatch:
 
 def _gather(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Phase 1: full scores of the best entries of each list."""
-    for _, ids, vectors, query_ids, queries, _ in streamed(batches):
+    for _, ids, vectors, query_ids, queries, _ in streamed(batches, k):
         q, v = _exact(queries, vectors)
         partial = [q[:, s] @ v[:, s].T for s in _lists(q.shape[1])]
         out = ([], [], [])
@@ -78,7 +78,7 @@ def _gather(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
 
 def _resolve(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Phases 2 and 3: entries that are sufficient in some list, and their full scores."""
-    for _, ids, vectors, query_ids, queries, cutoffs in streamed(batches):
+    for _, ids, vectors, query_ids, queries, cutoffs in streamed(batches, k):
         q, v = _exact(queries, vectors)
         lists = _lists(q.shape[1])
         enough = np.zeros((len(q), len(v)), bool)
@@ -101,6 +101,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best ``rows`` of each of ``queries``, both (id, vec), but its own."""
     blocks = max(1, -(-rows.count() // block))
+    queries = asked(queries, k)
     no_cutoff = queries.withColumn("cutoff", F.lit(None).cast("double"))
     gathered = stored(dealt(rows, no_cutoff, blocks).mapInArrow(lambda b: _gather(b, k), RESULT), "topk-gathered")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

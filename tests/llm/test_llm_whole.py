@@ -1,10 +1,13 @@
 """Cases where an operator once did less than the whole job."""
 
+import duckdb
+import numpy as np
 import pytest
 
-from orderlens.llm import licenses, pii
+from oracle_compare import compare
+from orderlens.llm import ann, blocks, licenses, pii, topk
 from orderlens.llm.common import table
-from orderlens.llm.registry import QUERIES
+from orderlens.llm.registry import ORACLES, QUERIES
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -60,3 +63,38 @@ def test_cues_in_any_case(cue, kind, value):
     spans = [s for s in pii.find(text) if s[0] == kind]
     assert spans == [(kind, len(cue), len(cue) + len(value))]
     assert value not in pii.masked(text, pii.find(text))
+
+
+def repeated_ids(spark, tmp_path):
+    """Ids that repeat with other vectors, with the same one, and as queries."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(4).tolist()) for i in [*range(120), *[50] * 4, *[100] * 20, *[7] * 30, *[8, 9, 9, 9]]]
+    rows += [(60, [3.0, 3.0, 3.0, 3.0])] * 9 + [(0, [1.0, 1.0, 1.0, 1.0])] * 12
+    path = str(tmp_path / "embeddings.parquet")
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3).write.parquet(path)
+    return rows, path
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_top_k_of_repeated_ids_matches_sql(spark, tmp_path, block):
+    _, path = repeated_ids(spark, tmp_path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    rows = blocks.valid_vectors(spark.read.parquet(path))
+    r = compare(topk.top_k(rows, rows.where("id % 50 = 0"), block=block), con, ORACLES["op8_top_k"])
+    assert r["match"], r
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_forest_on_repeated_ids(spark, tmp_path, block):
+    rows, path = repeated_ids(spark, tmp_path)
+    valid = blocks.valid_vectors(spark.read.parquet(path), nonzero=True)
+    found = [(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in ann.nearest(valid, valid.where("id % 50 = 0"), effort=64, block=block).collect()]
+    expected = []
+    for q in (0, 50, 100):
+        pairs = [(np.linalg.norm(np.array(a) - np.array(b)), j) for i, a in rows if i == q for j, b in rows if j != q]
+        expected += [(q, n + 1, j, round(float(d), 9)) for n, (d, j) in enumerate(sorted(pairs)[:10])]
+    assert sorted(found) == expected
+    # little effort: the rows of the query's own id don't stand for others
+    few = ann.nearest(valid, valid.where("id = 100").limit(1), effort=0.0, block=4096)
+    assert few.count() == 10
