@@ -174,21 +174,27 @@ def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(set_id, elements) of the classes in ``wanted`` (set_id, rep), computed anew from the text of ``rep``."""
+    """(set_id, elements), a row for each class in ``wanted`` (set_id, rep), computed anew from the text of ``rep``.
+
+    Where rows share the id ``rep``, sets of their other texts may be among the result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, expected = batch.column(1).to_pylist(), batch.column(0).to_pylist()
+            texts = batch.column(0).to_pylist()
             for s in steps([len(t or "") for t in texts], 1 << 22):
-                sets = [shingles(t or "") for t in texts[s]]
-                # rows that share the id of another text aren't the class's representative
-                kept = [(e, x.tobytes()) for e, x in zip(expected[s], sets) if set_digest(x) == e]
+                sets = [x for t in texts[s] if len(x := shingles(t or ""))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([e for e, _ in kept], pa.binary()), pa.array([x for _, x in kept], pa.binary())], ["set_id", "elements"]
+                    [pa.array([set_digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], ["set_id", "elements"]
                 )
 
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(wanted, "rep", "inner").select("set_id", "text").mapInArrow(run, "set_id binary, elements binary")
+    found = texts.join(wanted, "rep", "left_semi").select("text").mapInArrow(run, "set_id binary, elements binary")
+    sets = stored(found, "full-sets")
+    # only rows that share an id repeat a set
+    if sets.groupBy("set_id").count().where("count > 1").isEmpty():
+        return sets
+    return stored(sets.dropDuplicates(["set_id"]), "single-sets")
 
 
 def linked(a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> bool:
@@ -394,7 +400,7 @@ def near_duplicates(
     )
     members = stored(in_bands.join(stored(buckets, "buckets"), "bucket"), "members")
     wanted = classes.join(members.select("set_id").distinct(), "set_id", "left_semi").select("set_id", "rep")
-    sets = stored(_full_sets(docs, stored(wanted, "wanted"), text_col, id_col), "full-sets")
+    sets = _full_sets(docs, stored(wanted, "wanted"), text_col, id_col)
 
     labels = components(_star(members, classes, sets, similarity), "star")
     links = stored(_rest(members, labels, classes, sets, similarity, block), "rest-links")

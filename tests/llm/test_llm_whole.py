@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from oracle_compare import compare
-from orderlens.llm import ann, blocks, licenses, pii, topk
+from orderlens.llm import ann, blocks, licenses, minhash, pii, topk
 from orderlens.llm.common import table
 from orderlens.llm.registry import ORACLES, QUERIES
 
@@ -98,3 +98,16 @@ def test_forest_on_repeated_ids(spark, tmp_path, block):
     # little effort: the rows of the query's own id don't stand for others
     few = ann.nearest(valid, valid.where("id = 100").limit(1), effort=0.0, block=4096)
     assert few.count() == 10
+
+
+def test_a_set_once_for_a_repeated_id(spark):
+    words = [f"w{i}" for i in range(100)]
+    near, other = " ".join([*words[:99], "x"]), " ".join(words[::-1])
+    rows = [(1, " ".join(words))] * 40 + [(1, other)] * 10 + [(2, near)] * 20 + [(3, other)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    wanted = minhash.fingerprints(docs).groupBy("set_id").agg({"doc_id": "min"}).toDF("set_id", "rep")
+    sets = minhash._full_sets(docs, wanted, "text", "doc_id").collect()
+    assert len(sets) == 3 and {bytes(r.set_id) for r in sets} == {bytes(r.set_id) for r in wanted.collect()}
+    assert all(minhash.set_digest(np.frombuffer(r.elements, np.uint64)) == r.set_id for r in sets)
+    found = minhash.near_duplicates(docs).collect()
+    assert len(found) == len(rows) and {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (3, 1)}
