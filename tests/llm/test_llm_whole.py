@@ -2,6 +2,8 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet
 import pytest
 
 from oracle_compare import compare
@@ -111,3 +113,40 @@ def test_a_set_once_for_a_repeated_id(spark):
     assert all(minhash.set_digest(np.frombuffer(r.elements, np.uint64)) == r.set_id for r in sets)
     found = minhash.near_duplicates(docs).collect()
     assert len(found) == len(rows) and {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (3, 1)}
+
+
+LARGE = "/root/testdata/sf0.1"
+
+
+def recall(rows, every):
+    """The share of the ten nearest rows that is found for every so many rows, at the operator's own setting."""
+    known = {r.id: r.vec for r in rows.collect()}
+    ids = np.array(sorted(known))
+    matrix = np.array([known[i] for i in ids], float)
+    found = {}
+    for r in ann.nearest(rows, rows.where(f"id % {every} = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(found) == {int(i) for i in ids if i % every == 0}
+    hits = 0
+    for q, near in found.items():
+        distance = ((matrix - known[q]) ** 2).sum(axis=1)
+        order = [int(i) for i in ids[np.lexsort((ids, distance))] if i != q][:10]
+        hits += len(near & set(order))
+    return hits / (10 * len(found)), len(ids), len(found)
+
+
+def test_forest_recall_on_the_large_table(spark):
+    share, rows, queries = recall(blocks.valid_vectors(table(spark, LARGE, "embeddings"), nonzero=True), 10)
+    print(f"recall {share:.4f}, {rows} rows, {queries} queries")
+    assert queries >= 200 and share >= 0.9
+
+
+def test_forest_recall_over_blocks_with_a_crowd(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    matrix = rng.standard_normal((10_000, 64))
+    matrix[::3] = rng.standard_normal(64) + 0.01 * rng.standard_normal((3_334, 64))
+    path = str(tmp_path / "vectors.parquet")
+    pa.parquet.write_table(pa.table({"vec_id": np.arange(10_000), "embedding": list(matrix)}), path)
+    share, rows, queries = recall(blocks.valid_vectors(spark.read.parquet(path), nonzero=True), 50)
+    print(f"recall {share:.4f}, {rows} rows, {queries} queries")
+    assert rows > 2 * blocks.BLOCK and share >= 0.9
