@@ -322,19 +322,9 @@ def join_order_level1(spark, sf_dir):
 
 @query
 def join_pos_by_journal(spark, sf_dir):
-    inp = _inp(spark, sf_dir)
-    pos = inp.pos_order.select(F.col("crm_order"), F.col("journal_id").alias("_po_journal"))
-    sale = inp.pos_sale.select(
-        F.col("journal_id").alias("_tr_journal"),
-        F.col("agentid").alias("agent_pos"),
-        F.col("shop").alias("shop_pos"),
-        F.col("agent_firstname").alias("agent_name_pos"),
-    )
-    return (
-        _de(spark, sf_dir)
-        .join(pos, F.col("orderid") == F.col("crm_order"), "left")
-        .join(sale, F.col("_po_journal") == F.col("_tr_journal"), "left")
-        .select("orderid", "product", "agent_pos", "shop_pos", "agent_name_pos")
+    pos = stages.pos_by_journal(_inp(spark, sf_dir))
+    return _de(spark, sf_dir).join(pos, F.col("orderid") == F.col("_pos_order"), "left").select(
+        "orderid", "product", "agent_pos", "shop_pos", "agent_name_pos"
     )
 
 
