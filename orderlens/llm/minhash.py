@@ -8,23 +8,29 @@ Offers of later rounds are larger by at least one, so a document stops as soon a
 hold less than the next round's number: after one or two rounds for most texts.
 
 Grouping works on classes of equal shingle sets: exact copies collapse first, with a map-side
-combine, so a group of copies of any size costs a row a task.  Then
+combine, so a group of copies of any size costs a row a task.  Classes are numbered, so that what is
+shuffled for them is a few integers.  Then
 
-1. bands of the signature give buckets; classes that share one are candidates.  Buckets of the same
-   members count once;
-2. the star: every class meets only the centre of its buckets.  Pairs whose signatures leave no
-   chance of the threshold are dropped, the others are verified on the full sets,
-   100 * intersection >= 75 * union, and union-find merges the links;
+1. bands of the signature give buckets; classes that share one are candidates.  Of buckets with the same
+   members that of the first band counts;
+2. the star: every class meets one of the centres of its buckets.  Full sets travel once, to the centre,
+   for verification, 100 * intersection >= 75 * union, and union-find merges the links;
 3. the rest: in buckets that still hold several components, the members outside the largest one meet
-   the others in blocks.  Each block works on signatures, then on full sets, skips what it has already
-   linked, and returns a spanning forest of links, not pairs.  A pair is taken up in one bucket only.
+   the others in blocks, by signature.  A pair is taken up in the first band that both share, and only
+   if its ends are in different components.  A row of candidates holds a class and its partners;
+4. each of those classes tries its most similar partner on the full sets, and the links are merged;
+   what is then still between different components is verified to the last pair, each set being sent
+   once for each block in which it has a partner.
 
-A group of near copies, however large, is thus mostly settled by its star; what the star can't settle
-is verified in full, so no link between candidates is lost.
+A group of near copies, however large, is thus mostly settled by its star.  Candidates are pairs that share
+a bucket and match in ``matches`` of the 128 positions.  Both filters lose a link at the threshold with a small
+probability (``POSITIONS``, ``MATCHES``); with ``matches=0`` every pair of a bucket is verified.  No link
+between candidates is lost.
 
 Cases: texts without words have an empty set and are linked with nothing; a text of fewer than five
-words has one shingle, its whole word sequence; rows without an id keep a row with a null component
-and stay; repeated rows are copies of each other.
+words has one shingle, its whole word sequence; very long texts are read whole; rows without an id keep a
+row with a null component and stay; repeated rows are copies of each other; an empty table gives an
+empty result; other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -33,24 +39,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from orderlens.llm.bpe import steps
-from orderlens.llm.common import stored
+from orderlens.llm.common import settled, small, stored, workspace
 
 SHINGLE = 5
 SIMILARITY = 75  # per cent
 #: positions of a signature, and rows of a band: a pair at the threshold is missed with probability
 #: (1 - 0.75 ** 4) ** 32 = 5e-6
 POSITIONS, ROWS = 128, 4
-#: matching positions that a pair needs to be verified: at the threshold a pair has 96 of 128 with a
-#: standard deviation under 4.9, so fewer than 77 come up with probability 4e-5
+#: matching positions that a pair needs to be verified (0: none): at the threshold a pair has 96 of 128 with
+#: a standard deviation under 4.9, so fewer than 77 come up with probability 4e-5
 MATCHES = 77
-#: members of a block
-BLOCK = 512
+#: bits of a bucket's key below the number of its band
+BAND_SHIFT = 57
+#: members of a block that are compared by signature, and by full set
+BLOCK, SET_BLOCK = 8192, 512
 #: elements that walk together
 SLICE = 1 << 17
 
@@ -129,15 +136,6 @@ def _walk(elements: np.ndarray, owner: np.ndarray, best: np.ndarray, m: int) ->
             order = order[stay]
 
 
-def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key a band, the band's number mixed in."""
-    bits = signature.view(np.uint64).reshape(len(signature), -1, rows)
-    key = np.broadcast_to(np.arange(bits.shape[1], dtype=np.uint64), bits.shape[:2])
-    for i in range(rows):
-        key = mixed(key * _MULTIPLIER + bits[:, :, i])
-    return key.view(np.int64)
-
-
 def set_digest(elements: np.ndarray) -> bytes | None:
     """128 bits that stand for a shingle set; None for the empty set."""
     from xxhash import xxh3_128_digest
@@ -146,55 +144,62 @@ def set_digest(elements: np.ndarray) -> bytes | None:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, set_id, bands, sig) per row of ``docs``; ``sig`` has 16 bits a position."""
+    """(doc_id, n_shingles, set_id, sig) per row of ``docs``; ``sig`` has 16 bits a position."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for s in steps([len(t or "") for t in texts], 1 << 22):
                 sets = [shingles(t or "") for t in texts[s]]
-                signed = signatures(sets)
-                bands = band_keys(signed)
-                short = (mixed(signed.view(np.uint64)) >> np.uint64(48)).astype("<u2")
+                short = (mixed(signatures(sets).view(np.uint64)) >> np.uint64(48)).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[s],
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([set_digest(x) for x in sets], pa.binary()),
-                        pa.ListArray.from_arrays(np.arange(len(bands) + 1, dtype=np.int32) * bands.shape[1], bands.ravel()),
                         pa.array([x.tobytes() for x in short], pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set_id", "bands", "sig"],
+                    ["doc_id", "n_shingles", "set_id", "sig"],
                 )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles bigint, set_id binary, bands array<bigint>, sig binary"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_id binary, sig binary")
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(set_id, elements), a row for each class in ``wanted`` (set_id, rep), computed anew from the text of ``rep``.
+def bands(classes: DataFrame) -> DataFrame:
+    """(bucket, cid) for each band of each class: the band's number, and a hash of its positions in ``sig``."""
+    size = 2 * ROWS
+    number = POSITIONS // ROWS
 
-    Where rows share the id ``rep``, sets of their other texts may be among the result.
-    """
+    def key(band: Column) -> Column:
+        cut = F.substring("sig", band * size + 1, F.lit(size))
+        return F.shiftleft(band.cast("long"), BAND_SHIFT) + F.shiftrightunsigned(F.xxhash64(band, cut), 64 - BAND_SHIFT)
+
+    every = F.transform(F.sequence(F.lit(0), F.lit(number - 1)), key)
+    return classes.select("cid", F.explode(every).alias("bucket")).select("bucket", "cid")
+
+
+def _full_sets(docs: DataFrame, wanted: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """(cid, center, elements), a row for each class in ``wanted`` (set_id, cid, rep, center), computed anew from the text of ``rep``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(3).to_pylist()
             for s in steps([len(t or "") for t in texts], 1 << 22):
-                sets = [x for t in texts[s] if len(x := shingles(t or ""))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], ["set_id", "elements"]
-                )
+                sets = [shingles(t or "") for t in texts[s]]
+                # rows that share an id may have other texts
+                same = pa.array([set_digest(x) == d for x, d in zip(sets, batch.column(2)[s].to_pylist())], pa.bool_())
+                elements = pa.array([x.tobytes() for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0)[s], batch.column(1)[s], elements], ["cid", "center", "elements"]).filter(same)
 
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(wanted, "rep", "left_semi").select("text").mapInArrow(run, "set_id binary, elements binary")
+    found = texts.join(small(wanted, 64), "rep").select("cid", "center", "set_id", "text").mapInArrow(run, "cid bigint, center bigint, elements binary")
     sets = stored(found, "full-sets")
     # only rows that share an id repeat a set
-    if sets.groupBy("set_id").count().where("count > 1").isEmpty():
+    if sets.groupBy("cid").count().where("count > 1").isEmpty():
         return sets
-    return stored(sets.dropDuplicates(["set_id"]), "single-sets")
+    return stored(sets.dropDuplicates(["cid"]), "single-sets")
 
 
 def linked(a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> bool:
@@ -207,11 +212,11 @@ def linked(a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> bool:
     return 100 * shared >= similarity * (len(a) + len(b) - shared)
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
     """The pairs whose signatures match in enough positions."""
     for batch in batches:
         a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, POSITIONS) for i in (2, 3))
-        yield batch.select([0, 1]).filter(pa.array((a == b).sum(axis=1) >= MATCHES))
+        yield batch.select([0, 1]).filter(pa.array((a == b).sum(axis=1) >= matches))
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
@@ -235,46 +240,42 @@ def _groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[tuple]
         yield group
 
 
-def _block_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In each block, the members that have a likely partner in another component, and the partners."""
-    last = np.iinfo(np.int64).max
-    out_schema = pa.schema([("bucket", pa.int64()), ("bq", pa.int32()), ("bt", pa.int32()), ("set_id", pa.binary()), ("label", pa.binary()), ("partners", pa.list_(pa.binary()))])
-    for group in _groups(batches, 3):
-        bucket = group[0][0]
-        query = [r for r in group if r[3]]
-        other = [r for r in group if not r[3]]
-        if not query or not other:
-            continue
-        sigs = np.frombuffer(b"".join(r[7] for r in other), "<u2").reshape(-1, POSITIONS)
-        homes = np.full((len(other), max(len(r[8]) for r in other)), last)
-        for i, r in enumerate(other):
-            homes[i, : len(r[8])] = r[8]
-        labels = np.array([r[5] for r in other], dtype=object)
-        partners: dict[bytes, list[bytes]] = {}
-        label_of: dict[bytes, bytes] = {}
-        for r in query:
-            near = np.flatnonzero(((sigs == np.frombuffer(r[7], "<u2")).sum(axis=1) >= MATCHES) & (labels != r[5]))
+_CANDIDATES = pa.schema([("bucket", pa.int64()), ("cid", pa.int64()), ("partners", pa.list_(pa.int64())), ("matches", pa.list_(pa.int32()))])
+
+
+def _block_candidates(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
+    """In each block, the members that have a likely partner in another component, and the partners, most similar first.
+
+    A block's rows come with those that are asked before those that ask; the latter are streamed.
+    """
+    key, rows, held = None, [], None
+    for batch in batches:
+        found: list[tuple] = []
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            bucket, bq, bt, asking, cid, label, minor, sig = row
+            if key != (bucket, bq, bt):
+                key, rows, held = (bucket, bq, bt), [], None
+            if not asking:
+                rows.append(row)
+                continue
+            if not rows:
+                continue
+            if held is None:
+                held = np.frombuffer(b"".join(r[7] for r in rows), "<u2").reshape(-1, POSITIONS), *(np.array([r[i] for r in rows]) for i in (4, 5, 6))
+            sigs, cids, labels, minors = held
+            # of two members outside the largest component, the smaller one asks
+            others = np.flatnonzero((labels != label) & (~minors | (cid < cids)))
+            same = sigs[others] == np.frombuffer(sig, "<u2")
+            total = same.sum(axis=1)
+            near = np.flatnonzero(total >= matches)
+            # the pair belongs to the first band that both share
+            first = same[near].reshape(-1, POSITIONS // ROWS, ROWS).all(axis=2).argmax(axis=1)
+            near = near[first == bucket >> BAND_SHIFT]
             if len(near):
-                # the pair belongs to the first bucket that both share
-                first = np.where(np.isin(homes[near], np.array(r[8])), homes[near], last).min(axis=1)
-                # and of two members outside the largest component, the smaller one asks
-                found = [other[i] for i, f in zip(near, first) if f == bucket and (not other[i][6] or r[4] < other[i][4])]
-                if found:
-                    partners.setdefault(r[4], []).extend(o[4] for o in found)
-                    label_of |= {r[4]: r[5]} | {o[4]: o[5] for o in found}
-        if label_of:
-            n = len(label_of)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([group[0][0]] * n, pa.int64()),
-                    pa.array([group[0][1]] * n, pa.int32()),
-                    pa.array([group[0][2]] * n, pa.int32()),
-                    pa.array(list(label_of), pa.binary()),
-                    pa.array(list(label_of.values()), pa.binary()),
-                    pa.array([partners.get(x, []) for x in label_of], pa.list_(pa.binary())),
-                ],
-                schema=out_schema,
-            )
+                near = near[np.lexsort((cids[others[near]], -total[near]))]
+                found.append((bucket, cid, cids[others[near]].tolist(), total[near].tolist()))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*found), _CANDIDATES)], schema=_CANDIDATES)
 
 
 def _block_links(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
@@ -282,9 +283,9 @@ def _block_links(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator
     for group in _groups(batches, 3):
         sets = {r[3]: np.frombuffer(r[6], np.uint64) for r in group}
         label = {r[3]: r[4] for r in group}
-        parent: dict[bytes, bytes] = {}
+        parent: dict[int, int] = {}
 
-        def root(x: bytes, parent: dict[bytes, bytes] = parent) -> bytes:
+        def root(x: int, parent: dict[int, int] = parent) -> int:
             while parent.setdefault(x, x) != x:
                 parent[x] = parent[parent[x]]
                 x = parent[x]
@@ -292,13 +293,13 @@ def _block_links(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator
 
         edges = []
         for a, partners in {r[3]: r[5] for r in group}.items():
-            for b in partners:
+            for b in partners or ():
                 ra, rb = root(label[a]), root(label[b])
                 if ra != rb and linked(sets[a], sets[b], similarity):
                     parent[ra] = rb
                     edges.append((a, b))
         if edges:
-            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.binary()) for x in zip(*edges)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in zip(*edges)], ["a", "b"])
 
 
 def components(edges: DataFrame, what: str = "components") -> DataFrame:
@@ -308,10 +309,11 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
     labels are written to the shared folder.  A round costs rows in proportion to the edges, with a
     map-side minimum, and their number grows with the logarithm of the longest path.
     """
+    kind = edges.schema["a"].dataType
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{what}-edges")
     labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("node"), "label"), what)
     while True:
-        offered = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "label", F.lit(None).cast("binary").alias("old"))
+        offered = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "label", F.lit(None).cast(kind).alias("old"))
         own = labels.select("node", "label", F.col("label").alias("old"))
         hooked = offered.union(own).groupBy("node").agg(F.min("label").alias("label"), F.min("old").alias("old"))
         above = labels.select(F.col("node").alias("above"), F.col("label").alias("above_label"))
@@ -322,26 +324,28 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
             return labels
 
 
-def _star(members: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """The verified links between the centres of buckets and their members."""
-    pairs = members.where(F.col("set_id") != F.col("center")).select("center", "set_id").distinct()
-    sig = classes.select("set_id", "sig")
-    signed = pairs.join(sig, "set_id").join(sig.select(F.col("set_id").alias("center"), F.col("sig").alias("center_sig")), "center")
-    likely = stored(
-        signed.select("center", "set_id", "sig", "center_sig").mapInArrow(_likely, "center binary, set_id binary"), "star-pairs"
-    )
-    full = likely.join(sets, "set_id").join(sets.select(F.col("set_id").alias("center"), F.col("elements").alias("center_elements")), "center")
-    return full.select(F.col("center").alias("a"), F.col("set_id").alias("b"), "elements", "center_elements").mapInArrow(
-        lambda b: _confirmed(b, similarity), "a binary, b binary"
-    )
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The links among ``pairs`` (a, b): the set of ``a`` goes to that of ``b``."""
+    full = pairs.join(sets.select(F.col("cid").alias("a"), "elements"), "a")
+    return _meet(full, sets, similarity)
+
+
+def _meet(full: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Those of ``full`` (a, b, elements) whose sets are similar."""
+    centers = sets.join(full.select(F.col("b").alias("cid")).distinct(), "cid", "left_semi")
+    both = full.join(centers.select(F.col("cid").alias("b"), F.col("elements").alias("other")), "b")
+    return both.select("a", "b", "elements", "other").mapInArrow(lambda x: _confirmed(x, similarity), "a bigint, b bigint")
 
 
-def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int, block: int) -> DataFrame:
-    """Verified links between components that share a bucket."""
+def _relabelled(labels: DataFrame, links: DataFrame, what: str) -> DataFrame:
+    """``labels`` (node, label) after ``links`` (a, b) were added."""
+    return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links.select("a", "b")), what)
+
+
+def _candidates(members: DataFrame, labels: DataFrame, classes: DataFrame, matches: int, block: int) -> DataFrame:
+    """(bucket, cid, partners, matches): likely pairs between components that share a bucket."""
     labelled = stored(
-        members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-            "bucket", "set_id", "size", F.coalesce("label", "set_id").alias("label")
-        ),
+        members.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("bucket", "cid", "size", F.coalesce("label", "cid").alias("label")),
         "labelled",
     )
     per_label = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -350,74 +354,112 @@ def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataF
         .where(F.col("labels") > 1).select("bucket", "major"),
         "open-buckets",
     )
-    homes = members.groupBy("set_id").agg(F.sort_array(F.collect_set("bucket")).alias("homes"))  # at most one a band
     blocks = F.ceil(F.col("size") / block).cast("int")
-    mine = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
+    mine = F.pmod(F.xxhash64("cid"), blocks).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    rows = (
-        labelled.join(largest, "bucket")
-        .withColumn("minor", F.col("label") != F.col("major"))
-        .join(classes.select("set_id", "sig"), "set_id")
-        .join(homes, "set_id")
-    )
-    columns = ["bucket", "bq", "bt", "query", "set_id", "label", "minor", "sig", "homes"]
-    asking = rows.where("minor").withColumn("bq", mine).withColumn("bt", every).withColumn("query", F.lit(True)).select(*columns)
-    asked = rows.withColumn("bt", mine).withColumn("bq", every).withColumn("query", F.lit(False)).select(*columns)
+    rows = labelled.join(largest, "bucket").withColumn("minor", F.col("label") != F.col("major")).join(classes.select("cid", "sig"), "cid")
+    columns = ["bucket", "bq", "bt", "asking", "cid", "label", "minor", "sig"]
+    asking = rows.where("minor").withColumn("bq", mine).withColumn("bt", every).withColumn("asking", F.lit(True)).select(*columns)
+    asked = rows.withColumn("bt", mine).withColumn("bq", every).withColumn("asking", F.lit(False)).select(*columns)
     key = ["bucket", "bq", "bt"]
-    candidates = stored(
-        asking.union(asked).repartition(*key).sortWithinPartitions(*key)
-        .mapInArrow(_block_candidates, "bucket bigint, bq int, bt int, set_id binary, label binary, partners array<binary>"),
-        "block-candidates",
-    )
-    return (
-        candidates.join(sets, "set_id").select(*key, "set_id", "label", "partners", "elements")
-        .repartition(*key).sortWithinPartitions(*key)
-        .mapInArrow(lambda b: _block_links(b, similarity), "a binary, b binary")
+    dealt = asking.union(asked).repartition(*key).sortWithinPartitions(*key, "asking")
+    return stored(dealt.mapInArrow(lambda b: _block_candidates(b, matches), "bucket bigint, cid bigint, partners array<bigint>, matches array<int>"), "candidates")
+
+
+def _last_links(candidates: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int, block: int) -> DataFrame:
+    """The links among candidates whose ends are still in different components."""
+    name = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
+    pairs = candidates.select("bucket", F.col("cid").alias("a"), F.explode("partners").alias("b"))
+    apart = stored(
+        pairs.join(name("a"), "a", "left").join(name("b"), "b", "left")
+        .withColumn("a_label", F.coalesce("a_label", "a")).withColumn("b_label", F.coalesce("b_label", "b"))
+        .where("a_label <> b_label"),
+        "apart",
     )
+    if apart.isEmpty():
+        return apart.select("a", "b")
+    # a bucket's pairs in squares of a bounded number of sets
+    sides = apart.select("bucket", F.col("a").alias("cid")).union(apart.select("bucket", F.col("b").alias("cid"))).distinct()
+    squares = sides.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("squares"))
+    deal = lambda side: F.pmod(F.xxhash64(side), F.col("squares")).cast("int")
+    dealt = stored(apart.join(squares, "bucket").withColumn("bq", deal("a")).withColumn("bt", deal("b")), "squares")
+    key = ["bucket", "bq", "bt"]
+    ask = dealt.select(*key, F.col("a").alias("cid"), F.col("a_label").alias("label"), F.col("b").alias("partner"))
+    told = dealt.select(*key, F.col("b").alias("cid"), F.col("b_label").alias("label"), F.lit(None).cast("long").alias("partner"))
+    rows = ask.union(told).groupBy(*key, "cid", "label").agg(F.collect_set("partner").alias("partners"))
+    held = rows.join(sets.select("cid", "elements"), "cid").select(*key, "cid", "label", "partners", "elements")
+    return held.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda b: _block_links(b, similarity), "a bigint, b bigint")
 
 
-def near_duplicates(
-    docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", similarity: int = SIMILARITY, block: int = BLOCK
+def _grouped(
+    docs: DataFrame, text_col: str, id_col: str, similarity: int, matches: int, block: int, set_block: int
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, set_id) per row of ``docs``.
-
-    ``component_id`` is the smallest id reachable over links, ``kept`` whether that is the row's own.
-    """
+    """(doc_id, n_shingles, set_id, component) per row of ``docs``; it reads what is stored."""
     prints = stored(fingerprints(docs, text_col, id_col), "fingerprints")
     classes = stored(
-        prints.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_id")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig")),
+        prints.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig"))
+        # a number that is unique, and stays as it is once written
+        .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
-    in_bands = classes.select("set_id", F.explode("bands").alias("bucket"))
+    in_bands = bands(classes)
     buckets = (
         in_bands.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("center"), F.max("set_id").alias("far"), F.bit_xor(F.xxhash64("set_id")).alias("all"))
+        .agg(F.count(F.lit(1)).alias("size"), F.min("cid").alias("center"), F.bit_xor(F.xxhash64("cid")).alias("all"))
         .where("size > 1")
-        # buckets of the same members count once
-        .groupBy("size", "center", "far", "all").agg(F.min("bucket").alias("bucket"))
-        .select("bucket", "size", "center")
-    )
-    members = stored(in_bands.join(stored(buckets, "buckets"), "bucket"), "members")
-    wanted = classes.join(members.select("set_id").distinct(), "set_id", "left_semi").select("set_id", "rep")
+    )
+    buckets = stored(buckets, "all-buckets")
+    # of buckets with the same members, that of the first band
+    buckets = stored(buckets.groupBy("size", "center", "all").agg(F.min("bucket").alias("bucket")).select("bucket", "size", "center"), "buckets")
+    members = stored(in_bands.join(buckets, "bucket"), "members")
+
+    # a class has one centre, the smallest; centres that have none send their set nowhere
+    first = members.groupBy("cid").agg(F.min("center").alias("center"))
+    sig = classes.select("cid", "sig")
+    star = first.where("cid <> center").join(sig, "cid").join(sig.select(F.col("cid").alias("center"), F.col("sig").alias("center_sig")), "center")
+    star = stored(star.select("cid", "center", "sig", "center_sig").mapInArrow(lambda b: _likely(b, matches), "cid bigint, center bigint"), "star")
+    wanted = classes.select("set_id", "cid", "rep").join(first.select("cid"), "cid").join(star, "cid", "left").select("set_id", "cid", "rep", "center")
     sets = _full_sets(docs, stored(wanted, "wanted"), text_col, id_col)
+    to_center = sets.where("center IS NOT NULL").select(F.col("cid").alias("a"), F.col("center").alias("b"), "elements")
+    labels = components(stored(_meet(to_center, sets, similarity), "star-links"), "star-labels")
 
-    labels = components(_star(members, classes, sets, similarity), "star")
-    links = stored(_rest(members, labels, classes, sets, similarity, block), "rest-links")
+    candidates = _candidates(members, labels, classes, matches, block)
+    best = candidates.groupBy("cid").agg(F.max_by(F.element_at("partners", 1), F.struct(F.element_at("matches", 1), F.element_at("partners", 1))).alias("b"))
+    links = stored(_verified(stored(best.select(F.col("cid").alias("a"), "b"), "best"), sets, similarity), "best-links")
+    if not links.isEmpty():
+        labels = _relabelled(labels, links, "best-labels")
+    links = stored(_last_links(candidates, labels, sets, similarity, set_block), "last-links")
     if not links.isEmpty():
-        contracted = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links)
-        labels = components(contracted, "all")
+        labels = _relabelled(labels, links, "last-labels")
 
-    reps = classes.join(labels.withColumnRenamed("node", "set_id"), "set_id", "inner").select("set_id", "label", "rep")
+    reps = classes.join(labels.withColumnRenamed("node", "cid"), "cid").select("set_id", "label", "rep")
     smallest = stored(reps.groupBy("label").agg(F.min("rep").alias("component")), "smallest")
     grouped = stored(reps.join(smallest, "label").select("set_id", "component"), "grouped")
     by_class = stored(
-        classes.join(grouped, "set_id", "left").select("set_id", F.coalesce("component", "rep").alias("component")), "class-components"
-    )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return prints.select("doc_id", "n_shingles", "set_id").join(by_class, "set_id", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "set_id"
+        classes.select("set_id", "rep").join(grouped, "set_id", "left").select("set_id", F.coalesce("component", "rep").alias("component")),
+        "class-components",
     )
+    return prints.select("doc_id", "n_shingles", "set_id").join(by_class, "set_id", "left")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    similarity: int = SIMILARITY,
+    matches: int = MATCHES,
+    block: int = BLOCK,
+    set_block: int = SET_BLOCK,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, set_id) per row of ``docs``.
+
+    ``component_id`` is the smallest id reachable over links, ``kept`` whether that is the row's own.
+    """
+    with workspace(docs.sparkSession):
+        component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+        kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+        grouped = _grouped(docs, text_col, id_col, similarity, matches, block, set_block)
+        return settled(grouped.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "set_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -426,9 +468,10 @@ def drop_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str =
     Rows without an id stay.  Rows that share an id are told apart by their shingle sets; of equal
     ones, one stays.
     """
-    found = stored(near_duplicates(docs, text_col, id_col), "near-duplicates")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
-    repeated = stored(found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_col)), "repeated-ids")
+    found = near_duplicates(docs, text_col, id_col)
+    gone = settled(found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct())
+    gone = small(gone, 16)
+    repeated = settled(found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_col)))
     if repeated.isEmpty():
         return docs.join(gone, id_col, "left_anti").select(*docs.columns)
     single = docs.join(repeated, id_col, "left_anti").join(gone, id_col, "left_anti").select(*docs.columns)

@@ -13,7 +13,8 @@ grows the same trees.  Labels, language, source and id are no statistics.
 
 Cases: null and empty texts have all statistics 0 and get the score of those; a label table that is empty or has one
 class gives the constant score of its share (0.5 if empty); conflicting labels of one id count by
-their mean; rows without an id are scored and never trained on; repeated rows are scored alike.
+their mean; rows without an id are scored and never trained on; repeated rows are scored alike; very long
+texts are read whole; an empty table gives an empty result; other columns of a like name are kept as they are.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import fresh, hash_fraction, stored, word_count
+from orderlens.llm.common import fresh, hash_fraction, stored, word_count, workspace
 
 MAX_LABELLED = 20_000
 TREES, DEPTH, SEED = 24, 3, 7
@@ -137,10 +138,14 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, max_labelled: int =
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> RuleModel:
     """Grow the forest, take its rules, and fit their weights."""
+    with workspace(docs.sparkSession):
+        return _fit(labelled_statistics(docs, labels, max_labelled))
+
+
+def _fit(rows: DataFrame) -> RuleModel:
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    rows = labelled_statistics(docs, labels, max_labelled)
     n, share = rows.agg(F.count(F.lit(1)), F.avg("label")).first()
     if not n or share in (0.0, 1.0):
         share = 0.5 if not n else share
@@ -165,12 +170,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     return RuleModel(float(lasso.intercept), tuple((r, w) for r, w in zip(rules, weights) if w))
 
 
-def score(docs: DataFrame, model: RuleModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with the score of its text."""
+def _measured(docs: DataFrame, text_col: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the statistics of its text, and the names of their columns."""
     text, *named = fresh(docs, "_q_text", *[f"_q_{s}" for s in STATISTICS])
     names = dict(zip(STATISTICS, named))
     rows = docs.select("*", F.coalesce(F.col(text_col), F.lit("")).alias(text))
-    measured = rows.select("*", *[c.alias(names[k]) for k, c in statistics(F.col(text)).items()])
+    return rows.select("*", *[c.alias(names[k]) for k, c in statistics(F.col(text)).items()]), names
+
+
+def score(docs: DataFrame, model: RuleModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with the score of its text."""
+    measured, names = _measured(docs, text_col)
     return measured.select(*[measured[c] for c in docs.columns if c.lower() != score_col.lower()], model.score(names).alias(score_col))
 
 
@@ -184,6 +194,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts."""
-    (name,) = fresh(docs, "_q_score")
     model = fit(docs.select("doc_id", "text"), labels)
-    return score(docs, model, score_col=name).where(F.col(name) >= 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
+    measured, names = _measured(docs, "text")
+    # Catalyst would put a filter on the score below the statistics, with all of them in it again for each
+    # rule; it leaves a projection that isn't deterministic where it is
+    (fence,) = fresh(measured, "_q_fence")
+    fenced = measured.withColumn(fence, F.monotonically_increasing_id())
+    return fenced.where((model.score(names) >= 0.5) & (F.col(fence) >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
