@@ -16,21 +16,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: rows of a block, and queries that are handled at once
 BLOCK, CHUNK = 4096, 512
 
 
-def valid_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", nonzero: bool = False) -> DataFrame:
-    """(id, vec) of the rows that take part."""
+def takes_part(id_col: str = "vec_id", vec_col: str = "embedding", nonzero: bool = False) -> Column:
+    """Whether a row takes part; never null."""
     vec = F.col(vec_col)
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
-    rows = df.where(F.col(id_col).isNotNull() & vec.isNotNull() & (F.size(vec) > 0) & F.forall(vec, finite))
-    if nonzero:
-        rows = rows.where(F.exists(vec, lambda x: x != 0))
-    return rows.select(F.col(id_col).cast("long").alias("id"), vec.cast("array<double>").alias("vec"))
+    valid = F.col(id_col).isNotNull() & vec.isNotNull() & (F.size(vec) > 0) & F.forall(vec, finite)
+    return F.coalesce(valid & F.exists(vec, lambda x: x != 0) if nonzero else valid, F.lit(False))
+
+
+def valid_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", nonzero: bool = False) -> DataFrame:
+    """(id, vec) of the rows that take part."""
+    rows = df.where(takes_part(id_col, vec_col, nonzero))
+    return rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
 
 
 def asked(queries: DataFrame, k: int) -> DataFrame:

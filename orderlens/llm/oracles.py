@@ -98,3 +98,20 @@ SELECT doc_id, CAST(coalesce(h.n, 0) AS BIGINT) AS n_sentences, coalesce(h.names
        CAST(coalesce(l.n, 0) AS BIGINT) AS n_licenses, coalesce(l.licenses, '') AS licenses
 FROM pieces p LEFT JOIN hits h ON h.r = p.r LEFT JOIN listed l ON l.r = p.r
 """
+
+ORACLES["op12_pivot_join"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding, vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS valid FROM embeddings),
+numbered AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM vectors WHERE valid),
+links AS (
+  SELECT a.r, b.r AS other FROM numbered a JOIN numbered b ON a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (SELECT r, r AS other FROM numbered UNION SELECT reached.r, links.other FROM reached JOIN links ON reached.other = links.r),
+least AS (SELECT reached.r, min(n.vec_id) AS component_id FROM reached JOIN numbered n ON reached.other = n.r GROUP BY ALL),
+counts AS (SELECT r, count(*) AS n_links FROM links GROUP BY r)
+SELECT n.vec_id, CAST(coalesce(c.n_links, 0) AS BIGINT) AS n_links, l.component_id, n.vec_id = l.component_id AS kept
+FROM numbered n JOIN least l USING (r) LEFT JOIN counts c USING (r)
+UNION ALL SELECT vec_id, CAST(0 AS BIGINT), vec_id, true FROM vectors WHERE NOT valid
+"""
