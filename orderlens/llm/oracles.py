@@ -115,3 +115,33 @@ SELECT n.vec_id, CAST(coalesce(c.n_links, 0) AS BIGINT) AS n_links, l.component_
 FROM numbered n JOIN least l USING (r) LEFT JOIN counts c USING (r)
 UNION ALL SELECT vec_id, CAST(0 AS BIGINT), vec_id, true FROM vectors WHERE NOT valid
 """
+
+ORACLES["op13_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+langs AS (SELECT lang, CAST(sum(n) AS HUGEINT) AS total, CAST(count(*) AS HUGEINT) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT w.lang, w.source, w.term, CAST(count(*) AS HUGEINT) AS n FROM words w JOIN kept k USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS total FROM counts GROUP BY ALL),
+probabilities AS (
+  SELECT lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * l.v) AS p,
+         1 + (1000000000 * (k.n + 2)) // (l.total + 2 * l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN totals t USING (lang, source)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM probabilities a JOIN probabilities b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) FROM probabilities WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlens.llm import ann, bpe, licenses, minhash, mixing, pii, pivot_join, quality, token_count, topk, warc
+from orderlens.llm import ann, bpe, divergence, licenses, minhash, mixing, pii, pivot_join, quality, token_count, topk, warc
 from orderlens.llm.common import table
 from orderlens.llm.oracles import ORACLES  # noqa: F401
 
@@ -67,3 +67,8 @@ def op10_prefix_forest(spark, sf_dir):
 @query
 def op12_pivot_join(spark, sf_dir):
     return pivot_join.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_divergence(spark, sf_dir):
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
