@@ -145,3 +145,39 @@ parts AS (
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 """
+
+ORACLES["op11_spelling"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM (SELECT CAST(range AS BIGINT) AS b FROM range(0, 256))),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+  FROM documents),
+counted AS (SELECT id, run, CAST(count(*) AS BIGINT) AS n, hex(encode(id || ':' || run)) AS h FROM runs WHERE length(run) >= 7 GROUP BY id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_transform(range(0, CAST(length(h) // 2 AS BIGINT)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+                                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS crc
+  FROM counted, crc_table),
+forms AS (
+  SELECT CASE WHEN crc % 31 = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM forms WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+replaced AS (SELECT word, n, i, substr(word, 1, i - 1) || '?' || substr(word, i + 1) AS pattern FROM places),
+shorter AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM places),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM replaced a JOIN replaced b ON a.pattern = b.pattern AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT s.word, s.n, w.word, w.n FROM shorter s JOIN words w ON s.rest = w.word
+  UNION ALL SELECT w.word, w.n, s.word, s.n FROM shorter s JOIN words w ON s.rest = w.word),
+ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near),
+described AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.other_n >= 10 * w.n THEN r.other END AS form,
+         CASE WHEN r.other_n >= 10 * w.n THEN r.other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1),
+followed AS (
+  SELECT word, word AS at FROM described
+  UNION ALL SELECT f.word, d.form FROM followed f JOIN described d ON f.at = d.word WHERE d.form IS NOT NULL)
+SELECT d.word, d.form, f.at AS root, d.n, CAST(d.n_near AS BIGINT) AS n_near, d.form_n
+FROM described d JOIN followed f USING (word) JOIN described e ON f.at = e.word AND e.form IS NULL
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderlens.llm import ann, bpe, divergence, licenses, minhash, mixing, pii, pivot_join, quality, token_count, topk, warc
+from orderlens.llm import ann, bpe, divergence, licenses, minhash, mixing, pii, pivot_join, quality, spelling, token_count, topk, warc
 from orderlens.llm.common import table
 from orderlens.llm.oracles import ORACLES  # noqa: F401
 
@@ -64,6 +64,11 @@ def op10_prefix_forest(spark, sf_dir):
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_spelling(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_pivot_join(spark, sf_dir):
     return pivot_join.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
