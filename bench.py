@@ -12,8 +12,8 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -42,11 +42,12 @@ def _sf(path: str) -> float | str:
 def main() -> None:
     from orderlens.plans.pipeline import run_report
     from orderlens.queries import REGISTRY
+    from orderlens.scratch import remove
     from orderlens.session import local_session, shared_dir
     from orderlens.sources.adapter import FIXTURE_START, from_testdata
 
     spark = local_session(CPUS, shuffle_partitions=int(CPUS))
-    scratch = tempfile.mkdtemp(prefix="orderlens-bench-", dir=shared_dir(spark))
+    scratch = f"{shared_dir(spark)}/bench-{uuid.uuid4().hex}"
 
     def run_query(name: str) -> float:
         t = time.perf_counter()
@@ -74,6 +75,7 @@ def main() -> None:
         "cpus": int(CPUS),
         "repeat": REPEAT,
     }
+    remove(spark, scratch)
     print(json.dumps(out))
 
 

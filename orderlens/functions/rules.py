@@ -61,20 +61,24 @@ def hw_flag(level3: str | Column = "level3") -> Column:
     return F.when(_c(level3).isin(ACCESSORIES, DEVICE), F.lit(HW)).otherwise(_c(level3))
 
 
+#: the initials of the kinds that an order holds -> its label; any other set is ``MISC``
+MIX_LABELS = {
+    "S": SERVICE,
+    "D": DEVICE,
+    "A": ACCESSORIES,
+    "O": OTHER,
+    "SD": MIX_SERVICE_DEVICE,
+    "SA": MIX_SERVICE_ACC,
+    "SDA": MIX_SERVICE_DEVICE_ACC,
+    "SDO": MIX_SERVICE_DEVICE_OTHERS,
+}
+
+
 def order_mix(has_s: Column, has_d: Column, has_a: Column, has_o: Column) -> Column:
-    """Product mix of an order from four presence flags (NULL flags: order not found -> Misc)."""
-    s, d, a, o = has_s, has_d, has_a, has_o
-    return (
-        F.when(s & ~d & ~a & ~o, F.lit(SERVICE))
-        .when(s & d & ~a & ~o, F.lit(MIX_SERVICE_DEVICE))
-        .when(s & d & a & ~o, F.lit(MIX_SERVICE_DEVICE_ACC))
-        .when(s & ~d & a & ~o, F.lit(MIX_SERVICE_ACC))
-        .when(s & d & ~a & o, F.lit(MIX_SERVICE_DEVICE_OTHERS))
-        .when(~s & ~d & ~a & o, F.lit(OTHER))
-        .when(~s & d & ~a & ~o, F.lit(DEVICE))
-        .when(~s & ~d & a & ~o, F.lit(ACCESSORIES))
-        .otherwise(F.lit(MISC))
-    )
+    """Product mix of an order, looked up by the set of its kinds (NULL flags: order not found -> Misc)."""
+    kinds = F.concat_ws("", *[F.when(flag, F.lit(initial)) for flag, initial in zip((has_s, has_d, has_a, has_o), "SDAO")])
+    labels = F.create_map(*[F.lit(x) for pair in MIX_LABELS.items() for x in pair])
+    return F.coalesce(F.try_element_at(labels, kinds), F.lit(MISC))
 
 
 def face_value_delta(facevalue: str | Column = "facevalue", old_facevalue: str | Column = "old_facevalue") -> Column:
@@ -154,9 +158,9 @@ def level2(level4="level4", level1="level1", ordertype="ordertype", product="pro
         .when((_c(level1) == UPGRADE) & migration & ~contains_ci(product, PREPAID_WORD), F.lit(PRE2POST))
         .when((_c(level1) == DOWNGRADE) & migration & contains_ci(product, PREPAID_WORD), F.lit(PRE2POST))
         .when((_c(level1) == UPGRADE) & (face_value_delta(facevalue, old_facevalue) > 0) & no_end, F.lit(POST2POST))
-        .when(_c(serviceenddate).isNotNull(), F.lit(CONTRACTUAL))
-        .when(no_end & (_c(level3_category_case) != SERVICE), F.lit(CONTRACTUAL))
-        .when(no_end, F.lit(SIM_ONLY))
+        # an open end makes a service-only order SIM only, and one whose mix isn't known
+        .when(no_end & (F.coalesce(_c(level3_category_case), F.lit(SERVICE)) == SERVICE), F.lit(SIM_ONLY))
+        .otherwise(F.lit(CONTRACTUAL))
     )
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def presence_flags(df: DataFrame, key: str, col: str, values: dict[str, str]) -> DataFrame:
+def presence_flags(df: DataFrame, key: str, col: str, values: Mapping[str, str]) -> DataFrame:
     """One row per ``key`` with a boolean per ``values`` entry (flag name -> value).
 
     Replaces ``group_concat(distinct col)`` followed by substring tests: the flags are a
@@ -16,6 +18,8 @@ def presence_flags(df: DataFrame, key: str, col: str, values: dict[str, str]) ->
     return df.groupBy(key).agg(*[F.bool_or(F.col(col) == v).alias(name) for name, v in values.items()])
 
 
-def value_set(df: DataFrame, key: str, col: str, sep: str = ",") -> DataFrame:
-    """The distinct values per key as sorted, ``sep``-joined text (display form of the set)."""
-    return df.groupBy(key).agg(F.array_join(F.sort_array(F.collect_set(col)), sep).alias(col))
+def flagged_values(values: Mapping[str, str], sep: str = ",") -> Column:
+    """The values whose flag is set, sorted and joined: the distinct values of a key as text."""
+    named = sorted((v, name) for name, v in values.items())
+    # concat_ws leaves out what is NULL
+    return F.concat_ws(sep, *[F.when(F.col(name), F.lit(v)) for v, name in named])

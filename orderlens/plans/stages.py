@@ -28,22 +28,22 @@ from orderlens.functions.timefn import (
     sales_date,
     sales_hour,
 )
-from orderlens.operators import latest_per_key, left_join_within, presence_flags, union_positional
+from orderlens.operators import (
+    join_on_own_exchange,
+    latest_per_key,
+    left_join_within,
+    pair_with_removed,
+    presence_flags,
+    reduced_to_keys,
+    union_positional,
+)
+from orderlens.operators.key_filter import DEFAULT_BITS
 from orderlens.sources.inputs import Inputs
 
 # ---- fixed values ------------------------------------------------------------------------
 POS_WINDOW_SECONDS = 600 * 60  # POS sale of the same subscriber less than 600 minutes away
 # -------------------------------------------------------------------------------------------
 
-BASE_COLUMNS = [
-    "transactiondate", "row_id", "subscriberid", "customername", "connectiontype", "linecategory", "msisdn",
-    "orderid", "transactiontype_level1", "transactionsubtype_level2", "contractstartdate", "productrowid",
-    "product", "crmproducttype", "productpartnumber", "netprice", "ordertype", "orderitemstatus", "actioncd",
-    "orderstatus", "servicestartdate", "duration", "serviceenddate", "serviceaccountnumber",
-    "billingaccountnumber", "orderitemrowid", "parentorderitemrowid", "asset_integ_id", "login", "username",
-    "shopname", "menaidentifier", "x_channel", "level3", "level4", "facevalue", "level3_order", "description",
-    "hw_flag",
-]
 ENRICHED_COLUMNS = [
     "level3_category_case", "transactiondate", "subscriberid", "customername", "linecategory", "msisdn",
     "orderid", "contractstartdate", "product", "old_product_name", "netprice", "old_netprice", "ordertype",
@@ -73,18 +73,18 @@ def _null(t: str) -> Column:
     return F.lit(None).cast(t)
 
 
-def _since_local(ts: str, start: str, tz: str) -> Column:
+def since_local(ts: str, start: str, tz: str) -> Column:
     """Local creation date on or after ``start``.  The extra bound on the raw column is implied
     by it (local offsets are under one day) and lets the scan skip files and row groups."""
     raw_bound = F.col(ts) >= (F.lit(start).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY"))
     return raw_bound & on_or_after(local_date(ts, tz), start)
 
 
-def _orders_in_scope(inp: Inputs, start: str, tz: str) -> DataFrame:
+def orders_in_scope(inp: Inputs, start: str, tz: str) -> DataFrame:
     return inp.order_head.where(
         F.col("x_sub_type").isin(*R.ORDER_TYPES)
         & (F.col("status_cd") == R.COMPLETE)
-        & _since_local("created", start, tz)
+        & since_local("created", start, tz)
     )
 
 
@@ -119,7 +119,7 @@ def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
     duplicate dimension rows."""
     lines = inp.order_item.where(F.col("action_cd").isin(R.ADD, R.DELETE))
     subs = individual_subscribers(inp).select(F.col("subscriberid").alias("_sub_id"))
-    orders = _orders_in_scope(inp, start, tz).select(F.col("row_id").alias("_ord_id"))
+    orders = orders_in_scope(inp, start, tz).select(F.col("row_id").alias("_ord_id"))
     # the subscriber and order joins only filter (the result is DISTINCT): semi joins
     sold = (
         lines.join(orders, F.col("order_id") == F.col("_ord_id"), "left_semi")
@@ -138,10 +138,16 @@ def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
     )
 
 
-def latest_service_dates(inp: Inputs) -> DataFrame:
-    """Latest version of every order line's service dates (NULL update times last)."""
+def latest_service_dates(inp: Inputs, lines: DataFrame | None = None, bits: int = DEFAULT_BITS) -> DataFrame:
+    """Latest version of every order line's service dates (NULL update times last).
+
+    With ``lines`` (row_id), versions of other lines are dropped where they are read, but for a few: the history has all
+    lines that ever were, a report those of a period."""
+    versions = inp.order_item_om
+    if lines is not None:
+        versions = reduced_to_keys(versions, "row_id", lines, "row_id", bits)
     return latest_per_key(
-        inp.order_item_om,
+        versions,
         ["row_id"],
         [
             F.col("last_upd").desc_nulls_last(),
@@ -151,10 +157,19 @@ def latest_service_dates(inp: Inputs) -> DataFrame:
     )
 
 
-def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
-    lines = inp.order_item.where(
-        (F.col("status_cd") == R.COMPLETE) & F.col("action_cd").isin(R.ADD, R.DELETE)
-    ).select(
+def period_lines(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS) -> DataFrame:
+    """Completed Add and Delete lines that may be of an order of the period.
+
+    Lines have no date.  Those of other orders are dropped where they are read, but for a few, by a bitmap of the period's
+    order ids, so that the join with the orders shuffles lines of the period instead of all there ever were."""
+    lines = inp.order_item.where((F.col("status_cd") == R.COMPLETE) & F.col("action_cd").isin(R.ADD, R.DELETE))
+    return reduced_to_keys(lines, "order_id", orders_in_scope(inp, start, tz), "row_id", bits)
+
+
+def base(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS) -> DataFrame:
+    """``bits``: of the bitmaps of the period's orders and lines (``operators.key_filter``)."""
+    kept = period_lines(inp, start, tz, bits)
+    lines = kept.select(
         "row_id", "order_id", "prod_id", "serv_accnt_id",
         F.col("net_pri").alias("netprice"),
         F.col("status_cd").alias("orderitemstatus"),
@@ -162,7 +177,7 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
         F.col("par_order_item_id").alias("parentorderitemrowid"),
         "asset_integ_id",
     )
-    orders = _orders_in_scope(inp, start, tz).select(
+    orders = orders_in_scope(inp, start, tz).select(
         F.col("row_id").alias("_ord_id"),
         F.col("order_num").alias("orderid"),
         F.col("created").alias("contractstartdate"),
@@ -181,7 +196,7 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
     orders = orders.join(ord2, F.col("_ord_id") == F.col("_ord2_id"), "left").join(
         usr, F.col("_ord_user") == F.col("_usr_id"), "left"
     )
-    om = latest_service_dates(inp).select(
+    om = latest_service_dates(inp, kept.select("row_id"), bits).select(
         F.col("row_id").alias("_om_id"),
         F.col("service_start_dt").alias("servicestartdate"),
         F.col("service_end_dt").alias("serviceenddate"),
@@ -198,14 +213,11 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
     )
     # Join order: the orders of the period come first, as lines have no date of their own and nothing
     # else cuts their history as much; then the subscribers, and last the joins on the product and on
-    # the line.  A hot product is split by AQE (spark.sql.adaptive.forceOptimizeSkewedJoin): both
-    # joins on prod_id share one exchange, which AQE doesn't split by default.
+    # the line.  Article and product are joined to each other first, so that the lines are joined on the product
+    # once, by an exchange of its own: a hot product is split without any setting.
     scoped = individual_lines(inp, lines.join(orders, F.col("order_id") == F.col("_ord_id"), "inner"))
-    joined = (
-        scoped.join(article, F.col("prod_id") == F.col("_art_id"), "inner")
-        .join(prod, F.col("prod_id") == F.col("_prod_id"), "left")
-        .join(om, F.col("row_id") == F.col("_om_id"), "left")
-    )
+    goods = article.join(prod, F.col("_art_id") == F.col("_prod_id"), "left")
+    joined = join_on_own_exchange(scoped, goods, "prod_id", "_art_id").join(om, F.col("row_id") == F.col("_om_id"), "left")
     return joined.select(
         local_time("contractstartdate", tz).alias("transactiondate"),
         "row_id", "subscriberid", "customername", "connectiontype", "linecategory", "msisdn", "orderid",
@@ -224,29 +236,33 @@ def base(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
     )
 
 
+def order_flags(base_df: DataFrame) -> DataFrame:
+    """orderid -> which of the four kinds its lines have; label and set of kinds both come from these flags."""
+    return presence_flags(base_df.where(F.col("level3").isin(*R.KINDS)), "orderid", "level3", MIX_FLAGS)
+
+
 def order_mix(base_df: DataFrame) -> DataFrame:
     """orderid -> product-mix label over all the order's lines of the four kinds."""
-    flags = presence_flags(base_df.where(F.col("level3").isin(*R.KINDS)), "orderid", "level3", MIX_FLAGS)
-    return flags.select(
-        "orderid",
-        R.order_mix(F.col("has_service"), F.col("has_device"), F.col("has_acc"), F.col("has_other")).alias(
-            "level3_category_case"
-        ),
-    )
+    flags = order_flags(base_df)
+    return flags.select("orderid", R.order_mix(*[F.col(f) for f in MIX_FLAGS]).alias("level3_category_case"))
+
+
+def with_order_flags(lines: DataFrame, base_df: DataFrame) -> DataFrame:
+    """``lines`` with the flags of their order (NULL: an order without lines of the four kinds, or no order)."""
+    flags = order_flags(base_df).withColumnRenamed("orderid", "_flags_order")
+    return join_on_own_exchange(lines, flags, "orderid", "_flags_order", "left").drop("_flags_order")
+
+
+def added_with_removed(lines: DataFrame) -> DataFrame:
+    """Add lines of change orders x Delete lines of the same order and hardware flag: every pair."""
+    adds = lines.where((F.col("actioncd") == R.ADD) & (F.col("ordertype") != R.PROVIDE))
+    return pair_with_removed(adds, lines.where(F.col("actioncd") == R.DELETE), ["orderid", "hw_flag"], OLD_COLUMNS)
 
 
 def paired_and_provide(base_df: DataFrame) -> DataFrame:
-    """Add lines of change orders x Delete lines of the same order and hardware flag (every
-    pair), then every line of new-connection (Provide) orders with empty old_* columns."""
+    """The pairs, then every line of new-connection (Provide) orders with empty old_* columns."""
     kept = base_df.where(F.col("level3") != R.EXCLUDE)
-    adds = kept.where((F.col("actioncd") == R.ADD) & (F.col("ordertype") != R.PROVIDE))
-    dels = kept.where(F.col("actioncd") == R.DELETE).select(
-        F.col("orderid").alias("_del_order"), F.col("hw_flag").alias("_del_hw"),
-        *[F.col(c).alias(o) for c, o in OLD_COLUMNS.items()],
-    )
-    paired = adds.join(
-        dels, (F.col("orderid") == F.col("_del_order")) & (F.col("hw_flag") == F.col("_del_hw")), "inner"
-    )
+    paired = added_with_removed(kept)
     provide = kept.where(F.col("ordertype") == R.PROVIDE).select(
         "*",
         _null("string").alias("old_product_name"),
@@ -261,11 +277,9 @@ def paired_and_provide(base_df: DataFrame) -> DataFrame:
 
 
 def delete_enriched(base_df: DataFrame) -> DataFrame:
-    lines = paired_and_provide(base_df)
-    return lines.join(order_mix(base_df), "orderid", "left").select(
-        F.coalesce(F.col("level3_category_case"), F.lit(R.MISC)).alias("level3_category_case"),
-        *ENRICHED_COLUMNS[1:],
-    )
+    mix = F.coalesce(R.order_mix(*[F.col(f) for f in MIX_FLAGS]), F.lit(R.MISC))
+    lines = with_order_flags(paired_and_provide(base_df), base_df)
+    return lines.select(mix.alias("level3_category_case"), *ENRICHED_COLUMNS[1:])
 
 
 def _level1_rule(level3: Column) -> Column:
@@ -412,13 +426,22 @@ def pos_within_window(lines: DataFrame, inp: Inputs, tz: str = LOCAL_TZ, start:
     ).drop("_ps_sub")
 
 
-def report(de: DataFrame, lvl1: DataFrame, inp: Inputs, tz: str = LOCAL_TZ, start: str | None = None) -> DataFrame:
+def by_order(orders: DataFrame, lvl1: DataFrame, inp: Inputs) -> DataFrame:
+    """What the report adds to each order of ``orders`` (orderid): tags, sales by journal, dealer, in every combination."""
     tags = order_level1(lvl1).select(F.col("orderid").alias("_tag_order"), "level1")
-    joined = (
-        de.join(tags, F.col("orderid") == F.col("_tag_order"), "left")
-        .join(pos_by_journal(inp), F.col("orderid") == F.col("_pos_order"), "left")
-        .join(dealers(inp), F.col("orderid") == F.col("_dealer_order"), "left")
+    ids = orders.where(F.col("orderid").isNotNull()).select(F.col("orderid").alias("_by_order")).distinct()
+    return (
+        ids.join(tags, F.col("_by_order") == F.col("_tag_order"), "left")
+        .join(pos_by_journal(inp), F.col("_by_order") == F.col("_pos_order"), "left")
+        .join(dealers(inp), F.col("_by_order") == F.col("_dealer_order"), "left")
+        .drop("_tag_order", "_pos_order", "_dealer_order")
     )
+
+
+def report(de: DataFrame, lvl1: DataFrame, inp: Inputs, tz: str = LOCAL_TZ, start: str | None = None) -> DataFrame:
+    """The three joins on the order are made at order grain, a row for each order and match; the wide lines meet their
+    result in one join, whose hot orders are split and which lines without an order bypass."""
+    joined = join_on_own_exchange(de, by_order(de, lvl1, inp), "orderid", "_by_order", "left").drop("_by_order")
     joined = pos_within_window(joined, inp, tz, start)
     return joined.select(
         "level1",
@@ -511,13 +534,13 @@ def report_cash(rpt: DataFrame, inp: Inputs, start: str) -> DataFrame:
     )
 
 
-def run_chain(inp: Inputs, start: str, tz: str = LOCAL_TZ,
+def run_chain(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS,
               store: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """All stages chained.  ``store(name, df)`` may materialise the two stages that are read
     several times (base, delete_enriched) and return the re-read DataFrame; without it the
     chain stays lazy (see ``plans.pipeline`` for the run that writes every stage)."""
     keep = store or (lambda _name, df: df)
-    b = keep("base", base(inp, start, tz))
+    b = keep("base", base(inp, start, tz, bits))
     de = keep("delete_enriched", delete_enriched(b))
     l1 = level1(de)
     rpt = report(de, l1, inp, tz, start)

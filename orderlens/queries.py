@@ -23,14 +23,12 @@ from orderlens.functions.timefn import (
     sales_date,
     sales_hour,
 )
-from orderlens.operators import not_in
-from orderlens.operators.presence import value_set
+from orderlens.operators import flagged_values, not_in
 from orderlens.plans import sinks, stages
-from orderlens.session import shared_dir
+from orderlens.scratch import scratch, settled, workspace
 from orderlens.sources import delimited
 from orderlens.sources.adapter import FIXTURE_START, from_testdata
 from orderlens.sources.inputs import Inputs
-from orderlens.sources.schemas import ARTICLE_SCHEMA, SHOP_SCHEMA
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -54,21 +52,8 @@ def _de(spark, sf_dir):
 
 
 def _chain(spark, sf_dir) -> dict[str, DataFrame]:
-    """The stage chain with base and delete_enriched written once to the shared folder."""
-    return stages.run_chain(_inp(spark, sf_dir), FIXTURE_START, store=_store(spark))
-
-
-def _store(spark: SparkSession):
-    def store(name: str, df: DataFrame) -> DataFrame:
-        path = _scratch(spark, name)
-        sinks.write_stage(df, path)
-        return sinks.read_stage(spark, path)
-
-    return store
-
-
-def _scratch(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/orderlens/{what}-{uuid.uuid4().hex}"
+    """The stage chain with base and delete_enriched as checkpoints, which Spark deletes with the result."""
+    return stages.run_chain(_inp(spark, sf_dir), FIXTURE_START, store=lambda _name, df: settled(df))
 
 
 # ---- sources, sinks, table maintenance ----------------------------------------------------
@@ -80,39 +65,43 @@ def scan_order_lines(spark, sf_dir):
 
 @query
 def source_csv_articles(spark, sf_dir):
-    path = _scratch(spark, "dim_article_csv")
-    delimited.write_delimited(_inp(spark, sf_dir).dim_article, path)
-    return delimited.read_articles(spark, path)
+    with workspace(spark):
+        path = scratch(spark, "dim_article_csv")
+        delimited.write_delimited(_inp(spark, sf_dir).dim_article, path)
+        return settled(delimited.read_articles(spark, path))
 
 
 @query
 def source_csv_shops(spark, sf_dir):
-    path = _scratch(spark, "dim_shop_csv")
-    delimited.write_delimited(_inp(spark, sf_dir).dim_shop, path)
-    return delimited.read_shops(spark, path)
+    with workspace(spark):
+        path = scratch(spark, "dim_shop_csv")
+        delimited.write_delimited(_inp(spark, sf_dir).dim_shop, path)
+        return settled(delimited.read_shops(spark, path))
 
 
 @query
 def sink_stage_roundtrip(spark, sf_dir):
-    """DROP + CREATE TABLE AS SELECT: the stage is written twice; the second run replaces the first."""
-    path = _scratch(spark, "unique_products")
+    """DROP + CREATE TABLE AS SELECT through the catalog: a table with other columns first, which the stage then replaces."""
     stage = stages.unique_products(_inp(spark, sf_dir), FIXTURE_START)
-    sinks.write_stage(stage, path)
-    sinks.write_stage(stage, path)
-    return sinks.read_stage(spark, path)
+    table = f"orderlens_unique_products_{uuid.uuid4().hex[:12]}"
+    try:
+        sinks.publish(stage.select(F.col("productid").alias("stale_column")), table)
+        return settled(sinks.publish(stage, table))
+    finally:
+        sinks.drop_table(spark, table)
 
 
 @query
 def refresh_external(spark, sf_dir):
     """External table over a folder; a file added after the first read shows up after REFRESH."""
     shops = _inp(spark, sf_dir).dim_shop
-    path = _scratch(spark, "dim_shop_ext")
-    delimited.write_delimited(shops.where(F.col("shoptype") == "Flagship"), path)
-    table = f"orderlens_dim_shop_{uuid.uuid4().hex[:12]}"
-    delimited.register_external(spark, table, path, SHOP_SCHEMA).count()
-    delimited.write_delimited(shops.where(~(F.col("shoptype") == "Flagship")), path, mode="append")
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
+    with workspace(spark):
+        path = scratch(spark, "dim_shop_ext")
+        delimited.write_delimited(shops.where(F.col("shoptype") == "Flagship"), path)
+        with delimited.external_tables(spark, {"dim_shop": path}) as refreshed:
+            refreshed("dim_shop").count()
+            delimited.write_delimited(shops.where(~(F.col("shoptype") == "Flagship")), path, mode="append")
+            return settled(refreshed("dim_shop"))
 
 
 # ---- projection ----------------------------------------------------------------------------
@@ -178,7 +167,7 @@ def filter_not_exclude(spark, sf_dir):
 @query
 def filter_local_date_from(spark, sf_dir):
     oh = _inp(spark, sf_dir).order_head
-    return oh.where(stages._since_local("created", FIXTURE_START, LOCAL_TZ)).select(
+    return oh.where(stages.since_local("created", FIXTURE_START, LOCAL_TZ)).select(
         "row_id", "created", local_time("created").alias("transactiondate")
     )
 
@@ -289,26 +278,21 @@ def join_latest_service(spark, sf_dir):
 
 @query
 def join_self_add_delete(spark, sf_dir):
-    b = _base(spark, sf_dir)
-    adds = b.where((F.col("actioncd") == R.ADD) & (F.col("ordertype") != R.PROVIDE))
-    dels = b.where(F.col("actioncd") == R.DELETE).select(
-        F.col("orderid").alias("_d_order"), F.col("hw_flag").alias("_d_hw"),
-        F.col("product").alias("old_product_name"), F.col("netprice").alias("old_netprice"),
+    return stages.added_with_removed(_base(spark, sf_dir)).select(
+        "orderid", "hw_flag", "product", "old_product_name", "netprice", "old_netprice"
     )
-    return adds.join(
-        dels, (F.col("orderid") == F.col("_d_order")) & (F.col("hw_flag") == F.col("_d_hw")), "inner"
-    ).select("orderid", "hw_flag", "product", "old_product_name", "netprice", "old_netprice")
 
 
 @query
 def join_order_mix(spark, sf_dir):
     b = _base(spark, sf_dir)
-    kinds = value_set(b.where(F.col("level3").isin(*R.KINDS)), "orderid", "level3").select(
-        F.col("orderid").alias("_m_order"), F.col("level3").alias("order_kinds")
-    )
-    return b.join(kinds, F.col("orderid") == F.col("_m_order"), "left").select(
-        "orderid", "row_id", "level3", "order_kinds"
-    )
+    return stages.with_order_flags(b, b).select("orderid", "row_id", "level3", _kinds_text().alias("order_kinds"))
+
+
+def _kinds_text():
+    """The kinds of an order as text; NULL for an order that has none of them."""
+    found = F.coalesce(*[F.col(f) for f in stages.MIX_FLAGS]).isNotNull()
+    return F.when(found, flagged_values(stages.MIX_FLAGS))
 
 
 @query
@@ -391,8 +375,7 @@ def anti_cash_only(spark, sf_dir):
 
 @query
 def agg_order_mix(spark, sf_dir):
-    b = _base(spark, sf_dir)
-    return value_set(b.where(F.col("level3").isin(*R.KINDS)), "orderid", "level3")
+    return stages.order_flags(_base(spark, sf_dir)).select("orderid", flagged_values(stages.MIX_FLAGS).alias("level3"))
 
 
 @query
@@ -435,8 +418,7 @@ def union_level_branches(spark, sf_dir):
 @query
 def union_report_cash(spark, sf_dir):
     inp = _inp(spark, sf_dir)
-    c = stages.run_chain(inp, FIXTURE_START, store=_store(spark))
-    return stages.report_with_cash(c["report"], inp, FIXTURE_START)
+    return stages.report_with_cash(_chain(spark, sf_dir)["report"], inp, FIXTURE_START)
 
 
 # ---- scalar functions ----------------------------------------------------------------------

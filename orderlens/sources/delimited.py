@@ -6,11 +6,16 @@ missing trailing fields and unparsable numbers become NULL, extra fields are ign
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from orderlens.sources.schemas import ARTICLE_SCHEMA, SHOP_SCHEMA
 
+SCHEMAS = {"dim_article": ARTICLE_SCHEMA, "dim_shop": SHOP_SCHEMA}
 DELIMITED_OPTIONS = {
     "sep": ",",
     "header": "false",
@@ -43,3 +48,27 @@ def register_external(spark: SparkSession, table: str, path: str, schema: Struct
     spark.catalog.createTable(table, path=path, source="csv", schema=schema, **DELIMITED_OPTIONS)
     spark.catalog.refreshTable(table)
     return spark.table(table)
+
+
+@contextmanager
+def external_tables(spark: SparkSession, folders: Mapping[str, str], database: str | None = None) -> Iterator[Callable[[str], DataFrame]]:
+    """External tables over delimited folders for the time of a run: registered before it, dropped after it (the files stay).
+
+    ``folders`` maps a view of ``SCHEMAS`` to its folder.  What is given back REFRESHes the table of a view and reads it, so
+    files added since the table was created count.  Tables have names of the run, so that runs don't meet."""
+    run = uuid.uuid4().hex[:12]
+    names = {view: f"{f'{database}.' if database else ''}orderlens_{view}_{run}" for view in folders}
+    created: list[str] = []
+
+    def refreshed(view: str) -> DataFrame:
+        spark.catalog.refreshTable(names[view])
+        return spark.table(names[view])
+
+    try:
+        for view, folder in folders.items():
+            created.append(names[view])
+            register_external(spark, names[view], folder, SCHEMAS[view])
+        yield refreshed
+    finally:
+        for name in created:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -1,7 +1,7 @@
 """The set of input views the report reads.
 
 ``Inputs`` is a plain bundle of DataFrames with the column layout of the CRM, warehouse and
-point-of-sale tables.  ``Inputs.from_tables`` binds it to catalog tables on a cluster;
+point-of-sale tables.  ``orderlens.__main__.bind`` reads each from the catalog, Parquet or delimited files on a cluster;
 ``orderlens.sources.adapter.from_testdata`` derives it from the generated parquet tables.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 @dataclass(frozen=True)
@@ -33,12 +33,3 @@ class Inputs:
     @classmethod
     def names(cls) -> list[str]:
         return [f.name for f in fields(cls)]
-
-    @classmethod
-    def from_tables(cls, spark: SparkSession, table_names: dict[str, str]) -> "Inputs":
-        """Bind every view to a catalog table, e.g. ``{"order_item": "crm.s_order_item", ...}``."""
-        return cls(**{name: spark.table(table_names[name]) for name in cls.names()})
-
-    def register_views(self, prefix: str = "") -> None:
-        for name in self.names():
-            getattr(self, name).createOrReplaceTempView(prefix + name)

@@ -110,9 +110,9 @@ def test_not_in_random_vs_brute_force(spark, seed):
         assert _bag(not_in(ldf, "k", rdf, "k2").collect()) == _bag(expected), with_null
 
 
-def test_presence_flags_and_value_set_hot_key(spark):
+def test_presence_flags_and_their_values_hot_key(spark):
     """One key holds a third of the rows; flags and sets equal brute force, aggregated map-side."""
-    from orderlens.operators.presence import value_set
+    from orderlens.operators import flagged_values
 
     rnd = random.Random(7)
     kinds = ["Device", "Accessories", "Service", "Other"]
@@ -124,7 +124,8 @@ def test_presence_flags_and_value_set_hot_key(spark):
         seen.setdefault(k, set()).add(v)
     got = {r["k"]: (r["has_dev"], r["has_acc"]) for r in flags.collect()}
     assert got == {k: ("Device" in s, "Accessories" in s) for k, s in seen.items()}
-    sets = value_set(df, "k", "v")
+    named = {"s": "Service", "d": "Device", "a": "Accessories", "o": "Other"}
+    sets = presence_flags(df, "k", "v", named).select("k", flagged_values(named).alias("v"))
     assert {r["k"]: r["v"] for r in sets.collect()} == {k: ",".join(sorted(s)) for k, s in seen.items()}
     for agg in (flags, sets):
         plan = agg._jdf.queryExecution().executedPlan().toString()
@@ -150,3 +151,71 @@ def test_latest_per_key_hot_key_vs_brute_force(spark):
     assert {r["k"]: r["id"] for r in got.collect()} == {k: v[1] for k, v in best.items()}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan, plan
+
+
+def test_rows_are_reduced_to_keys_before_the_shuffle(spark):
+    """No row with a matching key is lost, few others pass, and a full bitmap only lets more pass."""
+    from orderlens.operators.key_filter import bits_for, reduced_to_keys
+
+    big = spark.range(50_000).select(F.concat(F.lit("k"), "id").alias("k"), "id").union(spark.sql("SELECT CAST(NULL AS STRING), -1L"))
+    keys = spark.range(0, 50_000, 100).select(F.concat(F.lit("k"), "id").alias("key")).union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    for bits, most in ((bits_for(500), 500 + 50_000 // 16), (1 << 10, 50_000)):
+        kept = {r["id"] for r in reduced_to_keys(big, "k", keys, "key", bits).collect()}
+        assert set(range(0, 50_000, 100)) <= kept and len(kept) <= most and -1 not in kept
+    assert reduced_to_keys(big, "k", keys.limit(0), "key").count() == 0
+    assert [bits_for(n) for n in (0, 1 << 11, 1 << 20, 1 << 60)] == [1 << 15, 1 << 15, 1 << 24, 1 << 29]
+
+
+def test_pairing_with_removed_vs_brute_force(spark):
+    from orderlens.operators import pair_with_removed
+
+    rnd = random.Random(5)
+    key = lambda: None if rnd.random() < 0.1 else rnd.randint(0, 5)
+    rows = [(i, key(), rnd.choice("xyz"), f"p{i}") for i in range(60)]
+    added, removed = rows[:40], rows[40:]
+    schema = "id int, k int, flag string, p string"
+    got = pair_with_removed(spark.createDataFrame(added, schema), spark.createDataFrame(removed, schema), ["k", "flag"], {"p": "old_p"})
+    assert got.columns == ["id", "k", "flag", "p", "old_p"]
+    want = [(*a, r[3]) for a in added for r in removed if a[1] is not None and (a[1], a[2]) == (r[1], r[2])]
+    assert _bag(got.collect()) == _bag(want)
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",  # small partitions would become one map task, which isn't split
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    """No broadcasts, and partitions of the tests' size count as skewed."""
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_key_of_a_shared_exchange_is_split(spark, skewed, how):
+    """60 % of the rows on one key, a tenth without a key, after another join on the same key."""
+    from orderlens.operators import join_on_own_exchange
+
+    rnd = random.Random(3)
+    key = lambda: "hot" if (x := rnd.random()) < 0.6 else None if x < 0.7 else f"k{rnd.randint(0, 60)}"
+    rows = [(i, key(), "x" * 50) for i in range(6000)]
+    left = spark.createDataFrame(rows, "id int, k string, pad string").repartition(8)
+    names = [("hot", 0), ("hot", -1), *((f"k{i}", i) for i in range(0, 50)), (None, 9)]
+    right = spark.createDataFrame(names, "name string, v int")
+    once = spark.createDataFrame([(n,) for n in sorted({n for n, _ in names if n})], "n1 string")
+    first = left.join(once, F.col("k") == F.col("n1"), "left")
+    got = join_on_own_exchange(first, right, "k", "name", how)
+    matches = {}
+    for k, v in names:
+        matches.setdefault(k, []).append(v)
+    want = [(i, k, v) for i, k, _ in rows for v in (matches.get(k) if k is not None and k in matches else [None] if how == "left" else [])]
+    assert _bag((r["id"], r["k"], r["v"]) for r in got.collect()) == _bag(want)
+    assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()

@@ -149,6 +149,13 @@ def test_contract_months_and_int_cast(spark):
     rows = [(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1) + dt.timedelta(days=d), a)
             for d, a in ((-9, 12.9), (46, -12.9), (45, 0.5), (365, 99.99))]
     got = spark.createDataFrame(rows, schema).select(
-        contract_months("e", "s").alias("m"), F.col("amt").cast("int").alias("i")).collect()
+        contract_months("e", "s").alias("m"), R.whole_amount("amt").alias("i")).collect()
     assert [r["m"] for r in got] == [0.0, 2.0, 1.0, 12.0]
     assert [r["i"] for r in got] == [12, -12, 0, 99]
+
+
+def test_whole_amount_of_text(spark):
+    """Text that is no number, and a number that is too large, give NULL instead of an error."""
+    rows = [("12.9",), ("-0.5",), (" 7 ",), ("abc",), ("",), ("1e30",), (None,)]
+    got = spark.createDataFrame(rows, "amt string").select(R.whole_amount("amt").alias("i")).collect()
+    assert [r["i"] for r in got] == [12, 0, 7, None, None, None, None]
