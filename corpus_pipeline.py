@@ -3,6 +3,13 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame,
 which ``run`` writes as Parquet to the shared folder and reads again as the next stage's docs.  All
 but the last stage return the columns of ``documents``.
+
+What a stage has written goes as soon as the next one is written, and each stage removes the tables of its own; the
+result, a narrow row for each document that the mix takes, is a checkpoint.
+
+Cases: null texts count as empty in every stage; rows without an id pass near-dedup and have a draw of their own in the
+mix; rows that repeat id and words are near duplicates, of which one stays; very long texts are read whole; an empty
+table gives an empty result; further columns of ``documents``, whatever their names, are carried to the last stage.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm import bpe, minhash, mixing, pii, quality
-from orderlens.llm.common import stored, table
+from orderlens.llm.common import remove, scratch, settled, table, workspace
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +59,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with workspace(spark):
+        last = None
+        for name, stage in STAGES[:-1]:
+            path = scratch(spark, f"pipeline-{name}")
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+            docs = spark.read.schema(kept.schema).parquet(path)
+            if last:
+                remove(spark, last)
+            last = path
+        return settled(STAGES[-1][1](spark, docs, sf_dir))
