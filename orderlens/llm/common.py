@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.session import shared_dir
+from orderlens import scratch as _scratch
+from orderlens.scratch import remove, settled  # noqa: F401
 
 #: a word: a run of anything but the six ASCII white-space characters
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,35 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
-
-
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the folder of the open ``workspace``, or else in the shared folder itself."""
-    return f"{_FOLDER.get() or shared_dir(spark) + '/llm'}/{what}-{uuid.uuid4().hex}"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this library wrote, on whatever file system it is."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return _scratch.scratch(spark, what, "llm")
 
 
 @contextmanager
 def workspace(spark: SparkSession) -> Iterator[None]:
-    """A folder of the run: what is stored meanwhile goes at the end, also after a failure.
-
-    What is returned must not read it any more: see ``settled``.  A workspace inside another one is a
-    folder of its own, which goes earlier.
-    """
+    """As ``orderlens.scratch.workspace``; the Python workers can import this package."""
     importable(spark)
-    path = scratch(spark, "run")
-    token = _FOLDER.set(path)
-    try:
+    with _scratch.workspace(spark, "llm"):
         yield
-    finally:
-        _FOLDER.reset(token)
-        remove(spark, path)
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
@@ -70,16 +51,6 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df``, a narrow result, as a checkpoint: it no longer reads the tables that a workspace stored.
-
-    Spark deletes its files once nothing refers to the result any more, where the session sets
-    spark.cleaner.referenceTracking.cleanCheckpoints.
-    """
-    shared_dir(df.sparkSession)  # names the checkpoint folder where the session has none
-    return df.checkpoint()
-
-
 #: bytes up to which a counted table is broadcast
 SMALL_BYTES = 16 << 20
 

@@ -12,7 +12,8 @@ def _text(value: str) -> str:
 
 ORACLES["op7_mixing"] = r"""
 WITH sizes AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5(coalesce(text, '')) AS digest
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -36,8 +37,8 @@ rates AS (
   FROM targets),
 drawn AS (
   SELECT d.doc_id, d.size, r.source_size, r.target, r.rate,
-         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT)
-           / 4503599627370496.0 AS u
+         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || d.digest || ':'
+           || (row_number() OVER (PARTITION BY d.doc_id, d.source, d.digest) - 1)), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
   FROM sizes d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, source_size, target,
        CAST((floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
@@ -55,8 +56,8 @@ bases AS (
 newest AS (
   SELECT payload_digest, payload_bytes, max(page_id) AS newest FROM bases GROUP BY ALL)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> newest THEN newest END AS refers_to
+       CASE WHEN page_id IS NOT DISTINCT FROM newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM newest THEN newest END AS refers_to
 FROM bases JOIN newest USING (payload_digest, payload_bytes)
 """
 

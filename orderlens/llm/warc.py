@@ -1,32 +1,37 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
 Writing.  Of pages with equal payloads, the one with the largest id is archived in full (a response)
-and the others refer to it (revisits).  Pages are dealt to shards by fixed ranges of their id, so a
-shard has a bounded number of ids whatever the corpus, and the same input gives the same files
-byte for byte: records are sorted by id in their shard, dates are a parameter, record ids derive from
-page id and digest, and compressed members carry no time.  Within a shard, files roll by compressed size.
+and the others refer to it (revisits).  Records are sorted by id (null first), digest and URL; a shard is a range of that order with
+about ``shard_bytes`` of payload.  The bounds of the ranges are exact: running sums of bytes over ids and digests, which no
+layout of the input changes, so the same pages give the same files byte for byte: dates are a
+parameter, record ids derive from page id, digest and place among equal records, and compressed members carry no time.
+Within a shard, files roll by compressed size.  A task writes one shard or more, each bounded, whatever the number of rows
+under one id or without an id.  There are ``MAX_SHARDS`` at most, so that their bounds fit every task; beyond that
+number shards get larger.
 
 Commit.  A task attempt writes its files under a temporary name of its own and returns a manifest row
 for each; Spark's own commit decides which attempt's rows count.  A second pass moves exactly those
-files to their final names (moving again is harmless) and writes the final manifest.  Files of lost
+files to their final names (moving again is harmless) and writes the final manifest, with the shard's first key.  Files of lost
 or repeated attempts are in no manifest and go with the temporary folder.
 
-Reading.  Archives are read as binary files; every record's headers are parsed, and digests and
-lengths are computed anew and compared.
+Reading.  The files that the manifest names, and no others, are read; a file's length and digest must be those of the
+manifest.  Every record's headers are parsed, and digests and lengths are computed anew and compared.
 
 The payloads are shuffled once: which pages are revisits is found on ids and digests alone, and meets
 the payloads in the writer as a merge of two sorted streams.
 
-Files are written with Arrow's file systems to the folder given (a URI or path that all executors reach).
+Files are written and read with Arrow's file systems in the folder given, which all executors must reach: local or mounted
+paths (``file:``), ``s3:`` (``s3a:`` and ``s3n:`` count as such), ``gs:``, ``hdfs:`` where Arrow has them.  Another scheme is an error.
 
-Cases: a null html is an empty payload; a null url is an empty target; rows with a null id go to a
-shard of their own and are responses only if no other page has their payload; rows that repeat the
-largest id of their payload are responses each.
+Cases: a null html is an empty payload; a null url is an empty target; pages without an id are responses only if
+no page with an id has their payload; rows that repeat the largest id of their payload are responses each;
+very long payloads are records like others (a record is never split); an empty table gives an empty manifest and no archive; other columns play no part.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import io
 import uuid
@@ -34,13 +39,15 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import importable, scratch, stored
+from orderlens.llm.common import importable, remove, scratch, settled, small, stored, workspace
 
-#: ids of a shard, compressed bytes at which a file rolls, payloads from which repeats are revisits
-SHARD_IDS, ROLL_BYTES, REVISIT_BYTES = 2048, 8 << 20, 0
+#: payload bytes of a shard, compressed bytes at which a file rolls, payloads from which repeats are revisits
+SHARD_BYTES, ROLL_BYTES, REVISIT_BYTES = 64 << 20, 8 << 20, 0
+#: shards at most, equal records that are dealt out together, bytes that a record costs besides its payload
+MAX_SHARDS, RANGE, RECORD_BYTES = 20_000, 256, 512
 LEVEL = 5
 DATE = "2024-01-01T00:00:00Z"
 SOFTWARE = "orderlens"
@@ -80,14 +87,14 @@ def info_record(name: str) -> bytes:
     )
 
 
-def page_record(page_id: int | None, url: str, payload: bytes, newest: int | None, revisit: bool) -> bytes:
-    """A response with its payload, or a revisit of the page ``newest`` with the headers only."""
+def page_record(page_id: int | None, url: str, payload: bytes, newest: tuple[int, str] | None = None, place: int = 0) -> bytes:
+    """A response with its payload, or a revisit of the page ``newest`` (id, URL) with the headers only; ``place``: among equal records."""
     digest = payload_digest(payload)
     head = _http_head(len(payload))
-    block = head if revisit else head + payload
+    block = head if newest else head + payload
     headers = [
-        ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", record_id("page", page_id, digest)),
+        ("WARC-Type", "revisit" if newest else "response"),
+        ("WARC-Record-ID", _page_record_id(page_id, digest, url, place)),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", "".join(url.split())),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
@@ -96,48 +103,99 @@ def page_record(page_id: int | None, url: str, payload: bytes, newest: int | Non
     ]
     if page_id is not None:
         headers.append(("Page-ID", page_id))
-    if revisit:
-        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id("page", newest, digest)), ("Refers-To-Page-ID", newest)]
+    if newest:
+        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", _page_record_id(newest[0], digest, newest[1], 0)), ("Refers-To-Page-ID", newest[0])]
     return _member(headers, block)
 
 
+def _page_record_id(page_id: int | None, digest: str, url: str, place: int) -> str:
+    return record_id("page", "" if page_id is None else page_id, digest, place, hashlib.sha1(url.encode()).hexdigest())
+
+
+#: schemes that Arrow knows by another name
+_SCHEMES = {"s3a://": "s3://", "s3n://": "s3://"}
+
+
 def _filesystem(folder: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder)
+    for scheme, known in _SCHEMES.items():
+        if folder.startswith(scheme):
+            folder = known + folder[len(scheme) :]
+    try:
+        return fs.FileSystem.from_uri(folder)
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"archives can't be kept in {folder}: a path or one of file:, s3:, gs:, hdfs: is needed") from e
+
+
+def _sort_key(page_id: Column, digest: Column, url: Column, place: Column) -> Column:
+    """A text whose order is that of the records: id (null first), digest, URL, place among equal records."""
+    # ids as unsigned numbers from the least one on
+    shifted = F.lpad(F.hex(page_id.bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    return F.concat(
+        F.when(page_id.isNull(), F.lit("0" * 17)).otherwise(F.concat(F.lit("1"), shifted)), digest, F.md5(url.cast("binary")), F.lpad(F.hex(place), 16, "0")
+    )
+
+
+def _sharded(batches: Iterator[pa.RecordBatch], bounds: list[str]) -> Iterator[pa.RecordBatch]:
+    """Each row, whose first column is its sort key, with the number of its shard in front."""
+    for batch in batches:
+        shards = pa.array([bisect.bisect_right(bounds, k) - 1 for k in batch.column(0).to_pylist()], pa.int32())
+        yield pa.RecordBatch.from_arrays([shards, *batch.columns], ["shard", *batch.schema.names])
+
+
+def _bounds(keys: DataFrame, shard_bytes: int) -> list[str]:
+    """The first sort key of each shard, for keys (key, bytes, records): exact running sums of bytes in the order of the keys."""
+    total = keys.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    size = max(shard_bytes, -(-total // MAX_SHARDS))
+    ranged = keys.repartitionByRange("key").sortWithinPartitions("key").withColumn("part", F.spark_partition_id())
+    placed = stored(ranged, "warc-ranged")
+    starts = placed.groupBy("part").agg(F.sum("bytes").alias("in_part"))
+    # a row for each partition
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("start", F.coalesce(F.sum("in_part").over(before), F.lit(0))).select("part", "start")
+    in_part = Window.partitionBy("part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("before", F.coalesce(F.sum("bytes").over(in_part), F.lit(0))).join(small(stored(starts, "warc-starts"), 16), "part")
+    shard = F.floor((F.col("start") + F.col("before")) / size)
+    # as many rows as there are shards
+    firsts = summed.groupBy(shard.alias("shard")).agg(F.min("key").alias("first")).select("first").collect()
+    return sorted(r[0] for r in firsts)
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, roll: int) -> Iterator[pa.RecordBatch]:
-    """Write the sorted rows of a partition; a manifest row for each file."""
+    """Write the sorted rows (shard, key, page_id, digest, kind, url, html, place, records, newest) of a partition; a manifest row for each file."""
     store, root = _filesystem(folder)
     attempt = f"{root}/_temporary/{uuid.uuid4().hex}"
     store.create_dir(attempt, recursive=True)
-    buffer, records, shard, part, decided = io.BytesIO(), 0, None, 0, None
+    buffer, records, shard, part, decided, first = io.BytesIO(), 0, None, 0, None, None
+
+    def name() -> str:
+        return f"shard-{shard:05d}-{part:05d}.warc.gz"
 
     def close() -> pa.RecordBatch:
-        name = f"shard-{shard}-{part:05d}.warc.gz"
         data = buffer.getvalue()
-        with store.open_output_stream(f"{attempt}/{name}", compression=None) as f:
+        with store.open_output_stream(f"{attempt}/{name()}", compression=None) as f:
             f.write(data)
         return pa.RecordBatch.from_pydict(
-            {"name": [name], "attempt": [attempt.rsplit("/", 1)[1]], "records": [records], "bytes": [len(data)], "sha256": [hashlib.sha256(data).hexdigest()]}
+            {"name": [name()], "attempt": [attempt.rsplit("/", 1)[1]], "records": [records], "bytes": [len(data)], "sha256": [hashlib.sha256(data).hexdigest()], "first_key": [first]}
         )
 
     for batch in batches:
-        for s, page_id, digest, kind, url, html, newest in zip(*(c.to_pylist() for c in batch.columns)):
+        for s, key, page_id, digest, kind, url, html, place, times, newest in zip(*(c.to_pylist() for c in batch.columns)):
             if kind == 0:  # a decision, right before its page
-                decided = (page_id, digest, newest)
+                decided = (key, newest, url)
                 continue
-            revisit = decided is not None and decided[:2] == (page_id, digest)
-            if s != shard or buffer.tell() >= roll:
-                if records:
-                    yield close()
-                part = part + 1 if s == shard else 0
-                shard, records = s, 0
-                buffer = io.BytesIO()
-                buffer.write(info_record(f"shard-{shard}-{part:05d}.warc.gz"))
-            buffer.write(page_record(page_id, url or "", (html or "").encode(), decided[2] if revisit else None, revisit))
-            records += 1
+            revisit = decided is not None and decided[0] == key
+            for i in range(place, place + times):
+                if s != shard or buffer.tell() >= roll:
+                    if records:
+                        yield close()
+                    part = part + 1 if s == shard else 0
+                    shard, records, first = s, 0, key
+                    buffer = io.BytesIO()
+                    buffer.write(info_record(name()))
+                buffer.write(page_record(page_id, url, html.encode(), decided[1:] if revisit else None, i))
+                records += 1
     if records:
         yield close()
 
@@ -162,44 +220,71 @@ def _move(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
         yield batch
 
 
-MANIFEST = "name string, attempt string, records bigint, bytes bigint, sha256 string"
+MANIFEST = "name string, attempt string, records bigint, bytes bigint, sha256 string, first_key string"
 
 
-def write_archives(pages: DataFrame, folder: str, shard_ids: int = SHARD_IDS, roll: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll: int = ROLL_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as archives under ``folder``; the manifest."""
     spark = pages.sparkSession
-    shard = F.coalesce(F.floor(F.col("page_id") / shard_ids).cast("string"), F.lit("none"))
+    store, root = _filesystem(folder)
+    store.create_dir(f"{root}/_temporary", recursive=True)  # also if there is no page to write
+    with workspace(spark):
+        staged, shards = _staged(pages, folder, shard_bytes, roll, revisit_bytes)
+        manifest = f"{folder}/manifest"
+        staged.repartition(min(max(shards, 1), MAX_SHARDS), "name").mapInArrow(lambda b: _move(b, folder), MANIFEST).write.parquet(manifest)
+    store.delete_dir(f"{root}/_temporary")
+    return spark.read.schema(MANIFEST).parquet(manifest)
+
+
+def _staged(pages: DataFrame, folder: str, shard_bytes: int, roll: int, revisit_bytes: int) -> tuple[DataFrame, int]:
+    """The rows of the files written so far, and the number of shards."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
-        shard.alias("shard"),
         F.col("page_id").cast("long").alias("page_id"),
         F.sha1(payload.cast("binary")).alias("digest"),
-        F.lit(1).alias("kind"),
-        F.col("url").cast("string").alias("url"),
+        F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         payload.alias("html"),
-        F.lit(None).cast("long").alias("newest"),
     )
-    store, root = _filesystem(folder)
-    store.create_dir(f"{root}/_temporary", recursive=True)  # also if there is no page to write
+    same = ["page_id", "digest", "url"]
     # ids and digests alone; equal payloads meet by digest and length
-    keys = stored(rows.select("shard", "page_id", "digest", F.octet_length("html").alias("length")), "warc-keys")
+    keys = stored(rows.select(*same, F.octet_length("html").cast("long").alias("length")).groupBy(*same, "length").agg(F.count(F.lit(1)).alias("n")), "warc-keys")
     newest = stored(
         keys.where(F.col("length") >= revisit_bytes).groupBy("digest", "length")
-        .agg(F.max("page_id").alias("newest"), F.count(F.lit(1)).alias("n")).where("n > 1 AND newest IS NOT NULL")
-        .select("digest", "length", "newest"),
+        .agg(F.max(F.struct("page_id", "url")).alias("newest"), F.sum("n").alias("times")).where("times > 1 AND newest.page_id IS NOT NULL")
+        .select("digest", "length", F.col("newest.page_id").alias("newest"), F.col("newest.url").alias("newest_url")),
         "warc-newest",
     )
-    decisions = keys.join(newest, ["digest", "length"]).where("page_id IS NULL OR page_id <> newest")
-    decisions = decisions.select(
-        "shard", "page_id", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "newest"
-    )
+    # equal records in ranges: (page_id, digest, url, place of the first, how many)
+    place = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RANGE).cast("long")))
+    ranges = keys.select(*same, "length", "n", place.alias("place")).withColumn("records", F.least(F.lit(RANGE), F.col("n") - F.col("place")))
+    sort_key = _sort_key(F.col("page_id"), F.col("digest"), F.col("url"), F.col("place"))
+    ranges = stored(ranges.withColumn("key", sort_key), "warc-ranges")
+    decisions = ranges.join(newest, ["digest", "length"]).where("page_id IS NULL OR page_id <> newest")
+    weight = F.col("records") * (F.col("length") + RECORD_BYTES)
+    bounds = _bounds(ranges.select("key", weight.alias("bytes")), shard_bytes)
+
+    columns = ["key", "page_id", "digest", "kind", "url", "html", "place", "records", "newest"]
+    text, one = F.lit(None).cast("string"), F.lit(1).cast("long")
+    told = decisions.select("key", "page_id", "digest", F.lit(0).alias("kind"), F.col("newest_url").alias("url"), text.alias("html"), "place", one.alias("records"), "newest")
+    repeated = stored(keys.where("n > 1").select(*same), "warc-repeated")
+    if repeated.isEmpty():
+        full = rows.withColumn("place", F.lit(0).cast("long")).withColumn("records", one)
+    else:
+        again = repeated.select(*[F.col(c).alias(f"again_{c}") for c in same])
+        on = rows["page_id"].eqNullSafe(again["again_page_id"]) & (rows["digest"] == again["again_digest"]) & (rows["url"] == again["again_url"])
+        single = rows.join(small(again, 128), on, "left_anti").withColumn("place", F.lit(0).cast("long")).withColumn("records", one)
+        # one payload of each, before its ranges
+        one_each = rows.join(small(again, 128), on, "left_semi").groupBy(*same).agg(F.any_value("html").alias("html"))
+        on = one_each["page_id"].eqNullSafe(ranges["page_id"]) & (one_each["digest"] == ranges["digest"]) & (one_each["url"] == ranges["url"])
+        many = one_each.join(ranges.where("n > 1"), on).select(*[one_each[c] for c in same], "html", "place", "records")
+        full = single.unionByName(many)
+    full = full.withColumn("key", sort_key).withColumn("kind", F.lit(1)).withColumn("newest", F.lit(None).cast("long"))
     # a page's decision sorts right before it
-    dealt = rows.union(decisions).repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
-    staged = stored(dealt.mapInArrow(lambda b: _write(b, folder, roll), MANIFEST), "warc-staged")
-    manifest = f"{folder}/manifest"
-    staged.repartition("name").mapInArrow(lambda b: _move(b, folder), MANIFEST).write.parquet(manifest)
-    store.delete_dir(f"{root}/_temporary")
-    return spark.read.schema(MANIFEST).parquet(manifest)
+    both = full.select(*columns).union(told.select(*columns))
+    schema = ", ".join(["shard int", *(f"`{f.name}` {f.dataType.simpleString()}" for f in both.schema)])
+    dealt = both.mapInArrow(lambda b: _sharded(b, bounds), schema).repartitionById(max(len(bounds), 1), "shard")
+    files = dealt.sortWithinPartitions("shard", "key", "kind").mapInArrow(lambda b: _write(b, folder, roll), MANIFEST)
+    return stored(files, "warc-staged"), len(bounds)
 
 
 def members(data: bytes) -> Iterator[bytes]:
@@ -221,45 +306,67 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:length]
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _records(path: str, data: bytes) -> Iterator[tuple]:
+    """The pages of an archive, each record checked."""
+    for record in members(data):
+        headers, block = parse(record)
+        kind = headers["WARC-Type"]
+        if kind == "warcinfo":
+            continue
+        if headers["WARC-Block-Digest"] != f"sha1:{payload_digest(block)}":
+            raise ValueError(f"{path}: damaged block of {headers['WARC-Record-ID']}")
+        http, _, payload = block.partition(b"\r\n\r\n")
+        digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
+        length = int(http.decode().rpartition("Content-Length: ")[2])
+        if kind == "response" and (len(payload), payload_digest(payload)) != (length, digest):
+            raise ValueError(f"{path}: damaged payload of {headers['WARC-Record-ID']}")
+        ids = [int(x) if (x := headers.get(k)) else None for k in ("Page-ID", "Refers-To-Page-ID")]
+        text = payload.decode() if kind == "response" else None
+        yield ids[0], headers["WARC-Target-URI"], length, digest, kind, ids[1], text, path, headers["WARC-Record-ID"]
+
+
+_COLUMNS = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload", "file", "record_id"]
+_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+#: records that are passed on together
+_PASSED = 1000
+
+
+def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    store, root = _filesystem(folder)
     for batch in batches:
-        for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-            rows = []
-            for record in members(data.as_py()):
-                headers, block = parse(record)
-                kind = headers["WARC-Type"]
-                if kind == "warcinfo":
-                    continue
-                if headers["WARC-Block-Digest"] != f"sha1:{payload_digest(block)}":
-                    raise ValueError(f"{path}: damaged block of {headers['WARC-Record-ID']}")
-                http, _, payload = block.partition(b"\r\n\r\n")
-                digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
-                length = int(http.decode().rpartition("Content-Length: ")[2])
-                if kind == "response" and (len(payload), payload_digest(payload)) != (length, digest):
-                    raise ValueError(f"{path}: damaged payload of {headers['WARC-Record-ID']}")
-                ids = [int(x) if (x := headers.get(k)) else None for k in ("Page-ID", "Refers-To-Page-ID")]
-                rows.append((ids[0], headers["WARC-Target-URI"], length, digest, kind, ids[1], payload.decode() if kind == "response" else None, path))
-            columns = list(zip(*rows)) or [()] * 8
-            types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], _COLUMNS)
-
-
-_COLUMNS = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload", "file"]
+        for name, size, sha256 in zip(*(c.to_pylist() for c in batch.columns)):
+            with store.open_input_stream(f"{root}/archives/{name}", compression=None) as f:
+                data = f.read()
+            if (len(data), hashlib.sha256(data).hexdigest()) != (size, sha256):
+                raise ValueError(f"{name} isn't what the manifest says")
+            rows: list[tuple] = []
+            for row in _records(name, data):
+                rows.append(row)
+                if len(rows) == _PASSED:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), _TYPES)], _COLUMNS)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), _TYPES)], _COLUMNS)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """A row for each response and revisit in the archives under ``folder``."""
+    """A row for each response and revisit in the archives that the manifest under ``folder`` names."""
     importable(spark)
-    files = spark.read.schema("path string, modificationTime timestamp, length bigint, content binary").format("binaryFile").load(f"{folder}/archives")
-    return files.select("path", "content").mapInArrow(
-        _read,
-        "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload string, file string",
+    named = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("name", "bytes", "sha256")
+    # a task reads its files one after the other; what they cost is in the files, not in these rows
+    files = named.repartition(min(max(named.count(), 1), MAX_SHARDS), "name")
+    return files.mapInArrow(
+        lambda b: _read(b, folder),
+        "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload string, file string, record_id string",
     )
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` as archives and read them back: (page_id, payload_bytes, payload_digest, record_type, refers_to)."""
-    folder = scratch(pages.sparkSession, "warc")
-    if write_archives(pages, folder).isEmpty():
-        return pages.sparkSession.createDataFrame([], "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
-    return read_archives(pages.sparkSession, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    spark = pages.sparkSession
+    folder = scratch(spark, "warc")
+    try:
+        write_archives(pages, folder)
+        return settled(read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    finally:
+        remove(spark, folder)

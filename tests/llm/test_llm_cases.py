@@ -104,7 +104,7 @@ def test_warc_files_are_the_same_twice_and_roll(spark, tmp_path):
     pages = spark.range(300).selectExpr("id AS page_id", "'u' AS url", "repeat(sha2(string(id), 512), 9) AS html")
     runs = []
     for n in (1, 3):
-        manifest = warc.write_archives(pages.repartition(n), str(tmp_path / str(n)), shard_ids=100, roll=20_000)
+        manifest = warc.write_archives(pages.repartition(n), str(tmp_path / str(n)), shard_bytes=170_000, roll=20_000)
         runs.append(sorted((r["name"], r.records, r.sha256) for r in manifest.collect()))
     assert runs[0] == runs[1] and len(runs[0]) > 6
     assert not (tmp_path / "1" / "_temporary").exists()
