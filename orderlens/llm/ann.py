@@ -14,7 +14,8 @@ median, so that a recall of 0.9 needs a large share of the rows.  Rows that crow
 need far less.  Every row is indexed; nothing is fitted but the mean.
 
 Cases: zero vectors and those that ``blocks`` names take no part; with fewer candidates than k, all
-are returned (a query that meets fewer entries ascends to the root); ties go to the smaller id.
+are returned (a query that meets fewer entries ascends to the root); ties go to the smaller id; an empty table
+gives an empty result; other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.blocks import BLOCK, asked, best, dealt, streamed, valid_vectors
-from orderlens.llm.common import stored
+from orderlens.llm.common import settled, stored, workspace
 
 TREES, BITS, EFFORT, SEED = 64, 32, 0.6, 17
 
@@ -103,5 +104,6 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, effort: float = EF
 
 def search(embeddings: DataFrame, every: int = 100, k: int = 10, effort: float = EFFORT) -> DataFrame:
     """The rows whose id is divisible by ``every`` against all rows."""
-    rows = stored(valid_vectors(embeddings, nonzero=True), "ann-rows")
-    return nearest(rows, rows.where(F.col("id") % every == 0), k, effort)
+    with workspace(embeddings.sparkSession):
+        rows = stored(valid_vectors(embeddings, nonzero=True), "ann-rows")
+        return settled(nearest(rows, rows.where(F.col("id") % every == 0), k, effort))

@@ -14,7 +14,8 @@ digits or marks, whose rest the pattern splits the same way.
 
 Cases: a null text counts as empty and has no ids; a text holding the string of a special token
 has that token's id there, as the library's default; long texts are cut like any other, and one
-that has no forced boundary is a single fragment.
+that has no forced boundary is a single fragment; repeated rows and null ids keep a row each; an empty table gives
+an empty result; other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations

@@ -147,7 +147,7 @@ def tile_sums(a: np.ndarray, b: np.ndarray, zero_a: np.ndarray, zero_b: np.ndarr
     return sums
 
 
-def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _strips(batches: Iterator[pa.RecordBatch], tile_groups: int, strip_terms: int) -> Iterator[pa.RecordBatch]:
     """Sorted cells (lang, ta, tb, strip, side, g, zero, t, p, width) -> (lang, ga, gb, value) of each strip of a pair of tiles.
 
     A group's row with t = -1 only names it.  Side 0 is tile ``ta``, side 1 tile ``tb``; a tile meets itself on side 0 alone.
@@ -160,11 +160,11 @@ def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiles, zeros, present = [], [], []
         for k, tile in ((0, ta), (1, tb)) if ta != tb else ((0, ta),):
             mine = side == k
-            cells, none, here = np.zeros((TILE, STRIP), np.int64), np.ones(TILE, np.int64), np.zeros(TILE, bool)
-            row = g[mine] - tile * TILE
+            cells, none, here = np.zeros((tile_groups, strip_terms), np.int64), np.ones(tile_groups, np.int64), np.zeros(tile_groups, bool)
+            row = g[mine] - tile * tile_groups
             none[row], here[row] = zero[mine], True
             some = t[mine] >= 0
-            cells[row[some], t[mine][some] % STRIP] = p[mine][some]
+            cells[row[some], t[mine][some] % strip_terms] = p[mine][some]
             tiles.append(cells)
             zeros.append(none)
             present.append(here)
@@ -174,7 +174,7 @@ def _strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i, j = i[i < j], j[i < j]
         n = len(i)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * n, pa.string()), pa.array(i + ta * TILE, pa.int64()), pa.array(j + tb * TILE, pa.int64()), pa.array(sums[i, j], pa.int64())],
+            [pa.array([lang] * n, pa.string()), pa.array(i + ta * tile_groups, pa.int64()), pa.array(j + tb * tile_groups, pa.int64()), pa.array(sums[i, j], pa.int64())],
             ["lang", "ga", "gb", "value"],
         )
 
@@ -204,9 +204,11 @@ def _probability(count: str, total: str, kept: str):
     return F.expr(f"1 + (({wide(SCALE)} * ({wide(count)} + 2)) div ({wide(total)} + 2 * {wide(kept)}))").cast("long")
 
 
-def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
+def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, tile: int = TILE, strip: int = STRIP) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair``, an item for each other source of the language; part ``term``, the
-    ``top`` terms that are likelier in the group than in its language."""
+    ``top`` terms that are likelier in the group than in its language.
+
+    ``tile`` and ``strip``: groups of a tile and terms of a strip, powers of two."""
     with workspace(docs.sparkSession):
         text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
         rows = docs.select(text("lang").alias("lang"), text("source").alias("source"), text("text").alias("text"))
@@ -228,7 +230,7 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP)
         priced = stored(
             with_p.withColumn("q", _probability("lang_n", "lang_total", "kept")).select("lang", "source", "g", "zero", "term", "p", "q"), "divergence-priced"
         )
-        pairs = _pair_values(priced, groups, kept)
+        pairs = _pair_values(priced, groups, kept, tile, strip)
         names = groups.select("lang", F.col("g"), "source")
         pairs = pairs.join(small(names.withColumnRenamed("g", "ga"), 64), ["lang", "ga"])
         pairs = pairs.join(small(names.select("lang", F.col("g").alias("gb"), F.col("source").alias("item")), 64), ["lang", "gb"])
@@ -242,18 +244,18 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP)
         return settled(pairs.union(terms_))
 
 
-def _pair_values(priced: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame:
+def _pair_values(priced: DataFrame, groups: DataFrame, kept: DataFrame, tile: int, strip: int) -> DataFrame:
     """(lang, ga, gb, value) for each ordered pair of groups of a language."""
     strips = _numbered(kept)
-    tiles = groups.groupBy("lang").agg((F.floor(F.max("g") / TILE) + 1).alias("tiles"))
+    tiles = groups.groupBy("lang").agg((F.floor(F.max("g") / tile) + 1).alias("tiles"))
     cells = priced.select("lang", "g", "zero", "term", "p").join(strips, ["lang", "term"]).select("lang", "g", "zero", "t", "p")
-    width = F.least(F.lit(STRIP).cast("long"), F.col("kept") - F.col("strip") * STRIP)
+    width = F.least(F.lit(strip).cast("long"), F.col("kept") - F.col("strip") * strip)
     # a row for each group and strip of its language, so that groups without a cell there are priced
-    named = groups.where("kept > 0").select("lang", "g", "zero", "kept", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("kept") - 1) / STRIP))).alias("strip"))
+    named = groups.where("kept > 0").select("lang", "g", "zero", "kept", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("kept") - 1) / strip))).alias("strip"))
     named = named.select("lang", "g", "zero", F.lit(-1).cast("long").alias("t"), F.lit(0).cast("long").alias("p"), "strip", width.alias("width"))
     sizes = groups.select("lang", "kept").distinct()
-    cells = cells.withColumn("strip", F.floor(F.col("t") / STRIP)).join(sizes, "lang").select("lang", "g", "zero", "t", "p", "strip", width.alias("width"))
-    both = named.union(cells).join(tiles, "lang").withColumn("tile", F.floor(F.col("g") / TILE))
+    cells = cells.withColumn("strip", F.floor(F.col("t") / strip)).join(sizes, "lang").select("lang", "g", "zero", "t", "p", "strip", width.alias("width"))
+    both = named.union(cells).join(tiles, "lang").withColumn("tile", F.floor(F.col("g") / tile))
     # a tile is side 0 of its pairs with itself and later ones, side 1 of those with earlier ones
     sided = both.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
     sided = sided.select(
@@ -262,7 +264,7 @@ def _pair_values(priced: DataFrame, groups: DataFrame, kept: DataFrame) -> DataF
     )
     key = ["lang", "ta", "tb", "strip"]
     dealt = sided.repartition(*key).sortWithinPartitions(*key)
-    sums = dealt.mapInArrow(_strips, "lang string, ga bigint, gb bigint, value bigint").groupBy("lang", "ga", "gb").agg(F.sum("value").alias("value"))
+    sums = dealt.mapInArrow(lambda b: _strips(b, tile, strip), "lang string, ga bigint, gb bigint, value bigint").groupBy("lang", "ga", "gb").agg(F.sum("value").alias("value"))
     sums = stored(sums, "divergence-pairs")
     both_ways = sums.union(sums.select("lang", F.col("gb").alias("ga"), F.col("ga").alias("gb"), "value"))
     # a language without kept terms has no strip

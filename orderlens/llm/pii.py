@@ -12,7 +12,8 @@ schemes and cues ``userinfo`` (``name:secret`` before the host of a URL), ``iban
 digits, 11 to 30 more; modulo 97) and ``ssn`` (3-2-4 digits in issued ranges after its cue).
 
 Spans are code-point offsets, the end exclusive.  Cases: null and empty texts have no spans; long
-texts are read whole; repeated rows and null ids keep a row each.
+texts are read whole; repeated rows and null ids keep a row each; an empty table gives an empty result; other
+columns, whatever their names, play no part and are kept by ``mask_pii``.
 """
 
 from __future__ import annotations

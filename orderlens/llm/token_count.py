@@ -19,7 +19,8 @@ than once are encoded once; the count is looked up by the digest of the text.
 
 Cases: null and empty texts have 0 tokens; strings of special tokens are encoded as the library
 does by default, and a text that holds one is encoded whole, as a special token may end a piece
-inside a word.  Rows are never merged: repeated rows and null ids keep a row each.
+inside a word.  Rows are never merged: repeated rows and null ids keep a row each.  An empty table gives an
+empty result; other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -33,10 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.llm.bpe import TOKENIZER, codec, load, steps, tokenizer_path
-from orderlens.llm.common import stored
+from orderlens.llm.common import settled, stored, workspace
 
 #: characters that a chunk owns, and that it shares with each neighbour at first
 CHUNK, OVERLAP = 32_768, 512
+#: chunks for each partition, and partitions at most
+PIECES, TASKS = 32, 20_000
 WIDEN = 8
 #: ASCII white space is enough for stable boundaries
 SPACE = "\t\n\v\f\r "
@@ -132,9 +135,11 @@ _MARKS = "array<struct<at: bigint, before: bigint>>"
 def _spliced(texts: DataFrame, chunk: int, overlap: int, tokenizer: str) -> DataFrame:
     """(digest, n_tokens) of huge texts; null where two neighbours share no stable boundary."""
     specials = _tokenizer(tokenizer_path(tokenizer))[1]
+    # a number of its own: what a chunk costs is work, not bytes
+    pieces = texts.agg(F.coalesce(F.sum(F.ceil(F.length("text") / chunk)), F.lit(0))).first()[0]
     chunks = texts.mapInArrow(
         lambda b: _deal(b, chunk, overlap, specials), "digest string, k bigint, last boolean, offset bigint, text string"
-    ).repartition("digest", "k")  # the chunks of one document go to many tasks
+    ).repartition(min(pieces // PIECES + 2, TASKS), "digest", "k")  # the chunks of one document go to many tasks
     encoded = chunks.mapInArrow(
         lambda b: _encode_chunks(b, chunk, overlap, tokenizer),
         f"digest string, k bigint, last boolean, n bigint, left {_MARKS}, right {_MARKS}",
@@ -181,7 +186,8 @@ def count_tokens(
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
     small = _with_counts(rows.where(~huge), tokenizer)
-    counts = huge_text_counts(rows.where(huge), "text", chunk, overlap, tokenizer)
+    with workspace(docs.sparkSession):
+        counts = settled(huge_text_counts(rows.where(huge), "text", chunk, overlap, tokenizer))
     long_rows = rows.where(huge).select("doc_id", "n_bytes", F.sha2("text", 256).alias("digest"))
     long = long_rows.join(counts, "digest", "inner").select("doc_id", "n_bytes", "n_tokens")
     return small.unionByName(long).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -15,7 +15,7 @@ Components become ``floor(256 * x)``; sums are exact: floating-point products as
 them fit 53 bits, Python integers otherwise (cut to 64 bits in the result).
 
 Cases: see ``blocks`` for vectors that take no part; with fewer candidates than k, all are returned;
-an empty table gives an empty result.
+an empty table gives an empty result; other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.blocks import BLOCK, asked, best, dealt, streamed, valid_vectors
-from orderlens.llm.common import stored
+from orderlens.llm.common import settled, stored, workspace
 
 SCALE, LISTS = 256, 4
 RESULT = "query_id bigint, vec_id bigint, score bigint"
@@ -117,5 +117,6 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK) -
 
 def search(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """The rows whose id is divisible by ``every`` against all rows."""
-    rows = stored(valid_vectors(embeddings), "topk-rows")
-    return top_k(rows, rows.where(F.col("id") % every == 0), k)
+    with workspace(embeddings.sparkSession):
+        rows = stored(valid_vectors(embeddings), "topk-rows")
+        return settled(top_k(rows, rows.where(F.col("id") % every == 0), k))
