@@ -27,8 +27,9 @@ def _run(inp: Inputs, start: str, tz: str, put: Callable[[str, DataFrame], DataF
     """Build every stage in order; ``put`` writes one and returns what later ones read."""
     # a count of narrow rows of the period sizes the bitmaps
     orders = stages.orders_in_scope(inp, start, tz).agg(F.count(F.lit(1))).first()[0]
-    put("unique_products", stages.unique_products(inp, start, tz))
-    b = put("base", stages.base(inp, start, tz, bits_for(LINES_PER_ORDER * orders)))
+    bits = bits_for(LINES_PER_ORDER * orders)
+    put("unique_products", stages.unique_products(inp, start, tz, bits))
+    b = put("base", stages.base(inp, start, tz, bits))
     de = put("delete_enriched", stages.delete_enriched(b))
     l1 = put("level1", stages.level1(de))
     rpt = put("report", stages.report(de, l1, inp, tz, start))

@@ -110,14 +110,14 @@ def individual_subscribers(inp: Inputs) -> DataFrame:
     return san.join(ban, F.col("_san_ba") == F.col("_ban_ba"), "inner").drop("_san_ba", "_ban_ba")
 
 
-def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ) -> DataFrame:
+def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS) -> DataFrame:
     """Distinct (product id, name, type) sold to individual customers in the period.
 
     Name and type come from the product dimension alone, so the lines are first reduced to
     their distinct product ids (map-side partial aggregation) and the dimension is joined to
     that small set instead of to every line; the final DISTINCT keeps the bag semantics of
     duplicate dimension rows."""
-    lines = inp.order_item.where(F.col("action_cd").isin(R.ADD, R.DELETE))
+    lines = _lines_of_period(inp, inp.order_item.where(F.col("action_cd").isin(R.ADD, R.DELETE)), start, tz, bits)
     subs = individual_subscribers(inp).select(F.col("subscriberid").alias("_sub_id"))
     orders = orders_in_scope(inp, start, tz).select(F.col("row_id").alias("_ord_id"))
     # the subscriber and order joins only filter (the result is DISTINCT): semi joins
@@ -158,11 +158,14 @@ def latest_service_dates(inp: Inputs, lines: DataFrame | None = None, bits: int
 
 
 def period_lines(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS) -> DataFrame:
-    """Completed Add and Delete lines that may be of an order of the period.
+    """Completed Add and Delete lines that may be of an order of the period."""
+    lines = inp.order_item.where((F.col("status_cd") == R.COMPLETE) & F.col("action_cd").isin(R.ADD, R.DELETE))
+    return _lines_of_period(inp, lines, start, tz, bits)
+
 
-    Lines have no date.  Those of other orders are dropped where they are read, but for a few, by a bitmap of the period's
+def _lines_of_period(inp: Inputs, lines: DataFrame, start: str, tz: str, bits: int) -> DataFrame:
+    """Lines have no date.  Those of other orders are dropped where they are read, but for a few, by a bitmap of the period's
     order ids, so that the join with the orders shuffles lines of the period instead of all there ever were."""
-    lines = inp.order_item.where((F.col("status_cd") == R.COMPLETE) & F.col("action_cd").isin(R.ADD, R.DELETE))
     return reduced_to_keys(lines, "order_id", orders_in_scope(inp, start, tz), "row_id", bits)
 
 
@@ -545,7 +548,7 @@ def run_chain(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_B
     l1 = level1(de)
     rpt = report(de, l1, inp, tz, start)
     return {
-        "unique_products": unique_products(inp, start, tz),
+        "unique_products": unique_products(inp, start, tz, bits),
         "base": b,
         "delete_enriched": de,
         "level1": l1,
