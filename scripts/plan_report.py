@@ -12,14 +12,15 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
+import uuid
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from orderlens.plans import stages  # noqa: E402
 from orderlens.plans.pipeline import run_report  # noqa: E402
-from orderlens.session import local_session  # noqa: E402
+from orderlens.scratch import remove  # noqa: E402
+from orderlens.session import local_session, shared_dir  # noqa: E402
 from orderlens.sources.adapter import FIXTURE_START, from_testdata  # noqa: E402
 
 OPS = re.compile(r"(Exchange \w+\([^)]*\)|SortMergeJoin \[[^\]]*\], \[[^\]]*\], \w+|BroadcastHashJoin|"
@@ -56,7 +57,7 @@ def main() -> None:
     spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     inp = from_testdata(spark, sf_dir)
-    out = tempfile.mkdtemp(prefix="orderlens-plans-")
+    out = f"{shared_dir(spark)}/plans-{uuid.uuid4().hex}"
     paths = run_report(spark, inp, FIXTURE_START, out)
     read = {k: spark.read.parquet(v) for k, v in paths.items()}
     plans = {
@@ -79,6 +80,7 @@ def main() -> None:
         print(f"## {name}: {n_ex} hash exchanges\n\n```")
         print("\n".join(s))
         print("```\n")
+    remove(spark, out)
 
 
 if __name__ == "__main__":
