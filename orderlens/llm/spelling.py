@@ -8,7 +8,7 @@
    of words shorter by a letter.  Every pair of adjacent cells thus meets once, whatever the size of the vocabulary.
 3. Gram matrices.  In a block of a cell, a NumPy product of the letter counts of the words there and of those that ask gives
    the squared distances ``|x|^2 + |y|^2 - 2 x.y``.  Pairs with at most two are kept: two for a replaced letter, one for a
-   letter more or less.  Those are verified letter by letter.  Cells larger than ``BLOCK`` words are dealt to several blocks,
+   letter more or less.  Those are verified on their letters.  Cells larger than ``BLOCK`` words are dealt to several blocks,
    past which those that ask are streamed.
 4. Pairs stay in their task: a block returns how many near words a word has there, and the best one.  These are added up.
 5. The form of a word is its near word with the largest count (ties: the smaller word), if that is at least ``RATIO`` times
@@ -36,7 +36,9 @@ from orderlens.llm.common import settled, small, stored, workspace
 
 MIN_LETTERS, MIN_COUNT, RATIO, DROP = 7, 2, 10, 31
 #: classes of letters, words of a block, words that ask at once, words that a task counts before it passes the counts on
-CLASSES, BLOCK, CHUNK, HELD = 5, 2048, 512, 1 << 19
+CLASSES, BLOCK, CHUNK, HELD = 8, 2048, 1024, 1 << 19
+#: letters that are verified together
+VERIFIED = 1 << 20
 #: words of the vocabulary for each partition of the blocks, partitions at most
 WORDS, TASKS = 2000, 20_000
 
@@ -103,134 +105,155 @@ def _steps() -> np.ndarray:
     return np.concatenate([np.zeros(1, np.uint64), later, shorter])
 
 
-def _cell(words: list[bytes]) -> np.ndarray:
-    lengths = np.array([len(w) for w in words])
+def _classes(words: list[bytes]) -> np.ndarray:
+    """How many letters of each class each word has."""
     letters = np.frombuffer(b"".join(words), np.uint8) % CLASSES
-    counts = np.bincount(np.repeat(np.arange(len(words)), lengths) * CLASSES + letters, minlength=len(words) * CLASSES)
-    return (counts.reshape(-1, CLASSES).astype(np.uint64) * _WEIGHTS).sum(axis=1, dtype=np.uint64)
+    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    return np.bincount(owner * CLASSES + letters, minlength=len(words) * CLASSES).reshape(-1, CLASSES)
 
 
 def _placed(batches: Iterator[pa.RecordBatch], asking: bool) -> Iterator[pa.RecordBatch]:
-    """(cell, home, wid, word, n): each word in its own cell, or in those where it asks, its own first."""
+    """(cell, wid, word, n): each word (wid, word in Latin-1, n) in its own cell, or in those where it asks besides."""
+    # what a cell is away, and the class that loses a letter on the way
+    away = list(zip(_steps()[1:], [*np.triu_indices(CLASSES, 1)[0].tolist(), *range(CLASSES)])) if asking else [(np.uint64(0), None)]
     for batch in batches:
         if not batch.num_rows:
             continue
-        home = _cell([w.encode("latin-1") for w in batch.column(1).to_pylist()])
-        for i, step in enumerate(_steps() if asking else _steps()[:1]):
-            columns = [pa.array((home + step).view(np.int64)), pa.array(np.full(len(home), not i)), *batch.columns]
-            yield pa.RecordBatch.from_arrays(columns, ["cell", "home", "wid", "word", "n"])
+        counts = _classes(batch.column(1).to_pylist())
+        home = (counts.astype(np.uint64) * _WEIGHTS).sum(axis=1, dtype=np.uint64)
+        for step, lost in away:
+            rows = np.arange(len(home)) if lost is None else np.flatnonzero(counts[:, lost])
+            if len(rows):
+                part = batch.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([pa.array((home[rows] + step).view(np.int64)), *part.columns], ["cell", "wid", "word", "n"])
 
 
-def one_edit(a: bytes, b: bytes) -> bool:
-    """Whether one inserted, deleted or replaced letter makes ``a`` into ``b``."""
-    if len(a) < len(b):
-        a, b = b, a
-    if len(a) - len(b) > 1 or a == b:
-        return False
-    i = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(b))
-    return a[i + 1 :] == b[i + (len(a) == len(b)) :]
+def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether one replaced letter, or one that ``a`` has more, makes each word of ``a`` into that of ``b``; matrices of letters."""
+    same = a[:, : b.shape[1]] == b
+    if a.shape[1] == b.shape[1]:
+        return same.sum(axis=1) == b.shape[1] - 1
+    start = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+    end = np.logical_and.accumulate((a[:, 1:] == b)[:, ::-1], axis=1).sum(axis=1)
+    return start + end >= b.shape[1]
 
 
-def _letter_counts(words: list[bytes]) -> np.ndarray:
-    """How often each of the 256 letters of Latin-1 is in each word."""
-    owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    counts = np.bincount(owner * 256 + np.frombuffer(b"".join(words), np.uint8), minlength=len(words) * 256)
-    return counts.reshape(-1, 256).astype(float)
+class _Words:
+    """Words of a block, in the order of their rows."""
 
+    def __init__(self, wid: np.ndarray, n: np.ndarray, words: list[bytes]):
+        self.wid, self.n, self.words = wid, n, words
+        self.lengths = np.array([len(w) for w in words])
+        self.bytes = np.frombuffer(b"".join(words), np.uint8)
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
-_FOUND = ["wid", "n_near", "best"]
-_BEST = pa.struct([("less", pa.int64()), ("word", pa.string())])
-
-
-class _Block:
-    """The words of a block that are asked, and the near words found for each so far."""
-
-    def __init__(self, rows: list[tuple[int, bytes, int]]):
-        self.wid = np.array([r[0] for r in rows])
-        self.words = [r[1] for r in rows]
-        self.n = [r[2] for r in rows]
-        self.letters = np.unique(np.frombuffer(b"".join(self.words), np.uint8))
-        self.counts = _letter_counts(self.words)[:, self.letters]
-        self.squares = (self.counts**2).sum(axis=1)
-        self.found: dict[int, list] = {}
-
-    def ask(self, rows: list[tuple[int, bytes, int]], home: np.ndarray) -> dict[int, list]:
-        """wid -> [near words, best] of those that ask; ``home``: those whose own cell this is, where a pair counts once."""
-        words = [r[1] for r in rows]
-        counts = _letter_counts(words)
-        squares = (counts**2).sum(axis=1)
-        distance = squares[:, None] + self.squares - 2 * (counts[:, self.letters] @ self.counts.T)
-        wid = np.array([r[0] for r in rows])
-        kept = (distance <= 2) & (distance > 0) & (~home[:, None] | (self.wid < wid[:, None]))
-        mine: dict[int, list] = {}
-        for i, j in np.argwhere(kept):
-            if one_edit(words[i], self.words[j]):
-                _note(mine, rows[i][0], self.n[j], self.words[j])
-                _note(self.found, int(self.wid[j]), rows[i][2], words[i])
-        return mine
-
-
-def _note(found: dict[int, list], wid: int, n: int, word: bytes) -> None:
-    entry = found.setdefault(wid, [0, (-n, word)])
-    entry[0] += 1
-    entry[1] = min(entry[1], (-n, word))
-
-
-def _found(found: dict[int, list]) -> pa.RecordBatch:
-    best = pa.StructArray.from_arrays(
-        [pa.array([e[1][0] for e in found.values()], pa.int64()), pa.array([e[1][1].decode("latin-1") for e in found.values()], pa.string())], fields=list(_BEST)
-    )
-    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([e[0] for e in found.values()], pa.int64()), best], _FOUND)
+    def counts(self, place: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """How often the letters of each place (one for each of the 256) are in each word, and the sums of their squares."""
+        owner = np.repeat(np.arange(len(self.words)), self.lengths)
+        found = np.bincount(owner * width + place[self.bytes], minlength=len(self.words) * width).reshape(-1, width).astype(float)
+        return found, (found**2).sum(axis=1)
 
+    def letters(self, rows: np.ndarray, length: int) -> np.ndarray:
+        return self.bytes[self.starts[rows][:, None] + np.arange(length)]
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near words within the blocks of a partition: sorted rows (cell, block, asking, home, wid, word, n)."""
-    key, rows, block, asking = None, [], None, []
 
-    def asked() -> Iterator[pa.RecordBatch]:
-        if asking and block is not None:
-            mine = block.ask([a[1:] for a in asking], np.array([a[0] for a in asking]))
-            if mine:
-                yield _found(mine)
-        asking.clear()
+_FOUND = ["wid", "n_near", "best"]
+_BEST = pa.struct([("less", pa.int64()), ("word", pa.binary())])
+
+
+def _best(mine: _Words, i: np.ndarray, theirs: _Words, j: np.ndarray) -> pa.RecordBatch:
+    """(wid, near words, best of them) of the words ``i`` of ``mine`` that are near the words ``j`` of ``theirs``."""
+    met, place = np.unique(j, return_inverse=True)
+    words = np.array([theirs.words[k] for k in met])  # bytes compare as the letters do
+    rank = np.empty(len(met), np.int64)
+    rank[np.argsort(words, kind="stable")] = np.arange(len(met))
+    order = np.lexsort((rank[place], -theirs.n[j], i))
+    first = order[np.flatnonzero(np.concatenate(([True], i[order][1:] != i[order][:-1])))]
+    best = [pa.array(-theirs.n[j[first]], pa.int64()), pa.array([theirs.words[k] for k in j[first]], pa.binary())]
+    count = np.bincount(i, minlength=len(mine.words))[i[first]]
+    return pa.RecordBatch.from_arrays([pa.array(mine.wid[i[first]], pa.int64()), pa.array(count, pa.int64()), pa.StructArray.from_arrays(best, fields=list(_BEST))], _FOUND)
+
+
+def _near_pairs(asking: _Words, held: _Words, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of near words; ``home``: of those whose own cell this is, a pair is taken from the side with the larger number."""
+    letters = np.unique(held.bytes)
+    # a near word has at most one letter that the other doesn't have, so letters that none of the words held has can be one
+    place, width = np.full(256, len(letters)), len(letters) + 1
+    place[letters] = np.arange(len(letters))
+    theirs, their_squares = held.counts(place, width)
+    found_i, found_j = [], []
+    for s in range(0, len(asking.words), CHUNK):
+        part = _Words(asking.wid[s : s + CHUNK], asking.n[s : s + CHUNK], asking.words[s : s + CHUNK])
+        mine, squares = part.counts(place, width)
+        distance = squares[:, None] + their_squares - 2 * (mine @ theirs.T)
+        longer = part.lengths[:, None] - held.lengths
+        kept = (distance <= 2) & ((longer == 0) | (longer == 1))
+        own = home[s : s + CHUNK]
+        kept &= ~own[:, None] | (held.wid < part.wid[:, None])
+        i, j = np.nonzero(kept)
+        for n in np.unique(part.lengths[i]).tolist():
+            for m in (n, n - 1):
+                at = np.flatnonzero((part.lengths[i] == n) & (held.lengths[j] == m))
+                step = VERIFIED // n + 1
+                for t in range(0, len(at), step):
+                    x, y = i[at[t : t + step]], j[at[t : t + step]]
+                    yes = one_edit(part.letters(x, n), held.letters(y, m))
+                    found_i.append(x[yes] + s)
+                    found_j.append(y[yes])
+    if not found_i:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(found_i), np.concatenate(found_j)
 
-    def closed() -> Iterator[pa.RecordBatch]:
-        yield from asked()
-        if block is not None and block.found:
-            yield _found(block.found)
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Near words within the blocks of a partition: sorted rows (cell, block, asks, home, wid, word, n)."""
+    key, parts, held = None, [], None
     for batch in batches:
-        for cell, part, asks, home, wid, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-            if key != (cell, part):
-                yield from closed()
-                key, rows, block = (cell, part), [], None
-            if not asks:
-                rows.append((wid, word.encode("latin-1"), n))
-            elif rows or block is not None:
-                if block is None:
-                    block, rows = _Block(rows), []
-                asking.append((home, wid, word.encode("latin-1"), n))
-                if len(asking) >= CHUNK:
-                    yield from asked()
-    yield from closed()
+        cell, block, asks, home, wid, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 4, 6))
+        words = batch.column(5).to_pylist()
+        change = (cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (asks[1:] != asks[:-1])
+        edges = [0, *(np.flatnonzero(change) + 1).tolist(), len(words)]
+        for a, b in zip(edges, edges[1:]):
+            if a == b:
+                continue
+            if key != (cell[a], block[a]):
+                key, parts, held = (cell[a], block[a]), [], None
+            rows = wid[a:b], n[a:b], words[a:b]
+            if not asks[a]:
+                parts.append(rows)
+                continue
+            if held is None and parts:
+                held, parts = _Words(*(np.concatenate(x) for x in list(zip(*parts))[:2]), [w for p in parts for w in p[2]]), []
+            if held is None:
+                continue
+            asking = _Words(*rows)
+            i, j = _near_pairs(asking, held, home[a:b])
+            if len(i):
+                yield _best(asking, i, held, j)
+                yield _best(held, j, asking, i)
 
 
 def near_words(vocab: DataFrame, block: int = BLOCK) -> DataFrame:
     """(wid, n_near, less, form) of ``vocab`` (wid, word, n): near words, the largest count among them negated, the least word with it."""
-    row = "cell bigint, home boolean, wid bigint, word string, n bigint"
-    own = stored(vocab.select("wid", "word", "n").mapInArrow(lambda b: _placed(b, False), row), "spelling-cells")
-    sizes = own.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    sizes = stored(sizes, "spelling-blocks")
-    asks = vocab.select("wid", "word", "n").mapInArrow(lambda b: _placed(b, True), row)
+    row = "cell bigint, wid bigint, word binary, n bigint"
+    coded = vocab.select("wid", F.encode("word", "ISO-8859-1").alias("word"), "n")
+    own = stored(coded.mapInArrow(lambda b: _placed(b, False), row), "spelling-cells")
+    sizes = stored(own.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "spelling-blocks")
     columns = ["cell", "block", "asks", "home", "wid", "word", "n"]
-    held = own.join(small(sizes, 16), "cell").withColumn("block", F.pmod(F.xxhash64("wid"), "blocks").cast("int")).withColumn("asks", F.lit(False))
+    no, yes, every = F.lit(False), F.lit(True), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    placed = own.join(small(sizes, 16), "cell")
+    held = placed.withColumn("block", F.pmod(F.xxhash64("wid"), "blocks").cast("int")).withColumn("asks", no).withColumn("home", yes)
+    at_home = placed.withColumn("block", every).withColumn("asks", yes).withColumn("home", yes)
     # cells that hold no word are left out by the join
-    guests = asks.join(small(sizes, 16), "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(True))
+    asking = coded.mapInArrow(lambda b: _placed(b, True), row).join(small(sizes, 16), "cell")
+    guests = asking.withColumn("block", every).withColumn("asks", yes).withColumn("home", no)
     # a number of its own: what a cell costs is work, not bytes
     tasks = min(vocab.count() // WORDS + 2, TASKS)
-    dealt = held.select(*columns).union(guests.select(*columns)).repartition(tasks, "cell", "block").sortWithinPartitions("cell", "block", "asks", "wid")
-    found = dealt.mapInArrow(_met, "wid bigint, n_near bigint, best struct<less:bigint,word:string>")
-    return found.groupBy("wid").agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best")).select("wid", "n_near", "best.less", F.col("best.word").alias("form"))
+    everyone = held.select(*columns).union(at_home.select(*columns)).union(guests.select(*columns))
+    dealt = everyone.repartition(tasks, "cell", "block").sortWithinPartitions("cell", "block", "asks", "wid")
+    found = dealt.mapInArrow(_met, "wid bigint, n_near bigint, best struct<less:bigint,word:binary>")
+    best = found.groupBy("wid").agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best"))
+    return best.select("wid", "n_near", "best.less", F.decode("best.word", "ISO-8859-1").alias("form"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
