@@ -20,7 +20,7 @@ shuffled for them is a few integers.  Then
    if its ends are in different components.  A row of candidates holds a class and its partners;
 4. each of those classes tries its most similar partner on the full sets, and the links are merged;
    what is then still between different components is verified to the last pair, each set being sent
-   once for each block in which it has a partner.
+   once for each square of its bucket in which it has a partner.  Pairs stay in arrays beside a class, and are no rows.
 
 A group of near copies, however large, is thus mostly settled by its star.  Candidates are pairs that share
 a bucket and match in ``matches`` of the 128 positions.  Both filters lose a link at the threshold with a small
@@ -240,20 +240,35 @@ def _groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[tuple]
         yield group
 
 
-_CANDIDATES = pa.schema([("bucket", pa.int64()), ("cid", pa.int64()), ("partners", pa.list_(pa.int64())), ("matches", pa.list_(pa.int32()))])
+_CANDIDATES = pa.schema(
+    [("bucket", pa.int64()), ("sq", pa.int32()), ("st", pa.int32()), ("cid", pa.int64()), ("partners", pa.list_(pa.int64())), ("matches", pa.int32())]
+)
 
 
-def _block_candidates(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
-    """In each block, the members that have a likely partner in another component, and the partners, most similar first.
+def _block_candidates(batches: Iterator[pa.RecordBatch], matches: int, set_block: int) -> Iterator[pa.RecordBatch]:
+    """The members that have a likely partner in another component, with the partners, most similar first, and these partners themselves.
 
-    A block's rows come with those that are asked before those that ask; the latter are streamed.
+    Rows (bucket, sq, st, cid, partners, most matches), for each square of at most about ``set_block`` members on either side: a row for
+    a member that asks, and one without partners for each that is asked.  A block's rows come with those that are asked
+    before those that ask; the latter are streamed.
     """
     key, rows, held = None, [], None
+    asked: set[tuple[int, int, int, int]] = set()
+
+    def told() -> Iterator[tuple]:
+        for bucket, sq, st, cid in asked:
+            yield bucket, sq, st, cid, [], -1
+        asked.clear()
+
+    def batch_of(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*found), _CANDIDATES)], schema=_CANDIDATES)
+
     for batch in batches:
         found: list[tuple] = []
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            bucket, bq, bt, asking, cid, label, minor, sig = row
+            bucket, bq, bt, asking, size, cid, label, minor, sig = row
             if key != (bucket, bq, bt):
+                found.extend(told())
                 key, rows, held = (bucket, bq, bt), [], None
             if not asking:
                 rows.append(row)
@@ -261,8 +276,11 @@ def _block_candidates(batches: Iterator[pa.RecordBatch], matches: int) -> Iterat
             if not rows:
                 continue
             if held is None:
-                held = np.frombuffer(b"".join(r[7] for r in rows), "<u2").reshape(-1, POSITIONS), *(np.array([r[i] for r in rows]) for i in (4, 5, 6))
-            sigs, cids, labels, minors = held
+                squares = -(-size // set_block)
+                sigs = np.frombuffer(b"".join(r[8] for r in rows), "<u2").reshape(-1, POSITIONS)
+                cids, labels, minors = (np.array([r[i] for r in rows]) for i in (5, 6, 7))
+                held = sigs, cids, labels, minors, squares, (mixed(cids.astype(np.uint64)) % np.uint64(squares)).astype(int)
+            sigs, cids, labels, minors, squares, square = held
             # of two members outside the largest component, the smaller one asks
             others = np.flatnonzero((labels != label) & (~minors | (cid < cids)))
             same = sigs[others] == np.frombuffer(sig, "<u2")
@@ -272,14 +290,21 @@ def _block_candidates(batches: Iterator[pa.RecordBatch], matches: int) -> Iterat
             first = same[near].reshape(-1, POSITIONS // ROWS, ROWS).all(axis=2).argmax(axis=1)
             near = near[first == bucket >> BAND_SHIFT]
             if len(near):
+                sq = int(mixed(np.array([cid], np.uint64))[0] % np.uint64(squares))
                 near = near[np.lexsort((cids[others[near]], -total[near]))]
-                found.append((bucket, cid, cids[others[near]].tolist(), total[near].tolist()))
+                theirs = square[others[near]]
+                for st in np.unique(theirs).tolist():
+                    partners = cids[others[near[theirs == st]]].tolist()
+                    found.append((bucket, sq, st, cid, partners, int(total[near[theirs == st][0]])))
+                    asked.update((bucket, sq, st, p) for p in partners)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*found), _CANDIDATES)], schema=_CANDIDATES)
+            yield batch_of(found)
+    if asked:
+        yield batch_of(list(told()))
 
 
 def _block_links(batches: Iterator[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
-    """In each block, links on full sets that join components: a spanning forest."""
+    """In each square, links on full sets that join components: a spanning forest."""
     for group in _groups(batches, 3):
         sets = {r[3]: np.frombuffer(r[6], np.uint64) for r in group}
         label = {r[3]: r[4] for r in group}
@@ -342,8 +367,8 @@ def _relabelled(labels: DataFrame, links: DataFrame, what: str) -> DataFrame:
     return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links.select("a", "b")), what)
 
 
-def _candidates(members: DataFrame, labels: DataFrame, classes: DataFrame, matches: int, block: int) -> DataFrame:
-    """(bucket, cid, partners, matches): likely pairs between components that share a bucket."""
+def _candidates(members: DataFrame, labels: DataFrame, classes: DataFrame, matches: int, block: int, set_block: int) -> DataFrame:
+    """(bucket, sq, st, cid, partners, matches): likely pairs between components that share a bucket, by squares of a bucket."""
     labelled = stored(
         members.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("bucket", "cid", "size", F.coalesce("label", "cid").alias("label")),
         "labelled",
@@ -358,36 +383,24 @@ def _candidates(members: DataFrame, labels: DataFrame, classes: DataFrame, match
     mine = F.pmod(F.xxhash64("cid"), blocks).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
     rows = labelled.join(largest, "bucket").withColumn("minor", F.col("label") != F.col("major")).join(classes.select("cid", "sig"), "cid")
-    columns = ["bucket", "bq", "bt", "asking", "cid", "label", "minor", "sig"]
+    columns = ["bucket", "bq", "bt", "asking", "size", "cid", "label", "minor", "sig"]
     asking = rows.where("minor").withColumn("bq", mine).withColumn("bt", every).withColumn("asking", F.lit(True)).select(*columns)
     asked = rows.withColumn("bt", mine).withColumn("bq", every).withColumn("asking", F.lit(False)).select(*columns)
     key = ["bucket", "bq", "bt"]
     dealt = asking.union(asked).repartition(*key).sortWithinPartitions(*key, "asking")
-    return stored(dealt.mapInArrow(lambda b: _block_candidates(b, matches), "bucket bigint, cid bigint, partners array<bigint>, matches array<int>"), "candidates")
-
-
-def _last_links(candidates: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int, block: int) -> DataFrame:
-    """The links among candidates whose ends are still in different components."""
-    name = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
-    pairs = candidates.select("bucket", F.col("cid").alias("a"), F.explode("partners").alias("b"))
-    apart = stored(
-        pairs.join(name("a"), "a", "left").join(name("b"), "b", "left")
-        .withColumn("a_label", F.coalesce("a_label", "a")).withColumn("b_label", F.coalesce("b_label", "b"))
-        .where("a_label <> b_label"),
-        "apart",
-    )
-    if apart.isEmpty():
-        return apart.select("a", "b")
-    # a bucket's pairs in squares of a bounded number of sets
-    sides = apart.select("bucket", F.col("a").alias("cid")).union(apart.select("bucket", F.col("b").alias("cid"))).distinct()
-    squares = sides.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("squares"))
-    deal = lambda side: F.pmod(F.xxhash64(side), F.col("squares")).cast("int")
-    dealt = stored(apart.join(squares, "bucket").withColumn("bq", deal("a")).withColumn("bt", deal("b")), "squares")
-    key = ["bucket", "bq", "bt"]
-    ask = dealt.select(*key, F.col("a").alias("cid"), F.col("a_label").alias("label"), F.col("b").alias("partner"))
-    told = dealt.select(*key, F.col("b").alias("cid"), F.col("b_label").alias("label"), F.lit(None).cast("long").alias("partner"))
-    rows = ask.union(told).groupBy(*key, "cid", "label").agg(F.collect_set("partner").alias("partners"))
-    held = rows.join(sets.select("cid", "elements"), "cid").select(*key, "cid", "label", "partners", "elements")
+    schema = "bucket bigint, sq int, st int, cid bigint, partners array<bigint>, matches int"
+    return stored(dealt.mapInArrow(lambda b: _block_candidates(b, matches, set_block), schema), "candidates")
+
+
+def _last_links(candidates: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The links among all candidates, but for those whose ends are in one component already."""
+    key = ["bucket", "sq", "st"]
+    # a member may be asked in several blocks of its bucket
+    rows = candidates.groupBy(*key, "cid").agg(F.flatten(F.collect_list("partners")).alias("partners"))
+    named = rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(*key, "cid", F.coalesce("label", "cid").alias("label"), "partners")
+    # a square whose members are all in one component has nothing left
+    spread = named.groupBy(*key).agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select(*key)
+    held = named.join(spread, key, "left_semi").join(sets.select("cid", "elements"), "cid").select(*key, "cid", "label", "partners", "elements")
     return held.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda b: _block_links(b, similarity), "a bigint, b bigint")
 
 
@@ -423,12 +436,13 @@ def _grouped(
     to_center = sets.where("center IS NOT NULL").select(F.col("cid").alias("a"), F.col("center").alias("b"), "elements")
     labels = components(stored(_meet(to_center, sets, similarity), "star-links"), "star-labels")
 
-    candidates = _candidates(members, labels, classes, matches, block)
-    best = candidates.groupBy("cid").agg(F.max_by(F.element_at("partners", 1), F.struct(F.element_at("matches", 1), F.element_at("partners", 1))).alias("b"))
+    candidates = _candidates(members, labels, classes, matches, block, set_block)
+    top = F.get("partners", F.lit(0))
+    best = candidates.where("matches >= 0").groupBy("cid").agg(F.max_by(top, F.struct("matches", top)).alias("b"))
     links = stored(_verified(stored(best.select(F.col("cid").alias("a"), "b"), "best"), sets, similarity), "best-links")
     if not links.isEmpty():
         labels = _relabelled(labels, links, "best-labels")
-    links = stored(_last_links(candidates, labels, sets, similarity, set_block), "last-links")
+    links = stored(_last_links(candidates, labels, sets, similarity), "last-links")
     if not links.isEmpty():
         labels = _relabelled(labels, links, "last-labels")
 
