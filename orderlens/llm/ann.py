@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.blocks import BLOCK, asked, best, dealt, streamed, valid_vectors
+from orderlens.llm.blocks import BLOCK, asked, best, block_count, dealt, streamed, valid_vectors
 from orderlens.llm.common import settled, stored, workspace
 
 TREES, BITS, EFFORT, SEED = 64, 32, 0.6, 17
@@ -47,8 +47,11 @@ class PrefixForest:
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
         """(vectors, trees): each hash string as an integer, its first bit the highest."""
-        sides = ((vectors - self._mean) @ self._planes > 0).reshape(len(vectors), self.trees, self.bits)
-        return sides.astype(np.int64) @ (1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64))
+        codes = np.empty((len(vectors), self.trees), np.int64)
+        for s in range(0, len(vectors), BLOCK):
+            sides = ((vectors[s : s + BLOCK] - self._mean) @ self._planes > 0).reshape(-1, self.trees, self.bits)
+            codes[s : s + BLOCK] = sides.astype(np.int64) @ (1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64))
+        return codes
 
     def candidates(self, queries: np.ndarray, effort: float, least: np.ndarray) -> Iterator[np.ndarray]:
         """For each query the places of the entries found."""
@@ -95,7 +98,7 @@ def _nearest(batches: Iterator[pa.RecordBatch], k: int, effort: float) -> Iterat
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, effort: float = EFFORT, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest ``rows`` found for each of ``queries``, both (id, vec)."""
-    blocks = max(1, -(-rows.count() // block))
+    blocks = block_count(rows.count(), block)
     no_cutoff = asked(queries, k).withColumn("cutoff", F.lit(None).cast("double"))
     found = dealt(rows, no_cutoff, blocks).mapInArrow(lambda b: _nearest(b, k, effort), "query_id bigint, vec_id bigint, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")).cast("int")

@@ -2,7 +2,8 @@
 
 Rows are dealt to blocks of a bounded size by a hash of their id and vector, so equal vectors of many ids and
 many vectors of one id spread over all blocks.  Every block gets all queries after its own rows; a task holds one block at a time and
-streams the queries past it.  The rows are shuffled once, the queries once for each block.
+streams the queries past it.  The rows are shuffled once, the queries once for each block; blocks grow with the table
+until one fills a task's memory (``block_count``).
 
 Vectors take part if they have an id and at least one component and all components are finite numbers.
 Vectors of different lengths never meet.  Rows that repeat an id are candidates of their own, or queries
@@ -19,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: rows of a block, and queries that are handled at once
+#: rows of a block, and queries that are handled at once with so many
 BLOCK, CHUNK = 4096, 512
+#: blocks up to which they keep that size; beyond, blocks grow, up to LARGEST rows, before there are more of them
+FEW, LARGEST = 64, 65_536
 
 
 def takes_part(id_col: str = "vec_id", vec_col: str = "embedding", nonzero: bool = False) -> Column:
@@ -37,16 +40,24 @@ def valid_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
     return rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
 
 
+def block_count(rows: int, block: int = BLOCK) -> int:
+    """Blocks for so many rows.  Every block gets every query, so a large table has large blocks rather than many."""
+    blocks = max(1, -(-rows // block))
+    return blocks if blocks <= FEW else max(FEW, -(-rows // max(LARGEST, block)))
+
+
 def asked(queries: DataFrame, k: int) -> DataFrame:
     """``queries`` (id, vec), of equal ones ``k`` at most: they go to every block."""
     copies = F.array_repeat(F.lit(1), F.least("count", F.lit(k)).cast("int"))
     return queries.groupBy("id", "vec").count().select("id", "vec", F.explode(copies)).select("id", "vec")
 
 
-def dealt(rows: DataFrame, queries: DataFrame, blocks: int) -> DataFrame:
-    """Rows (id, vec) and queries (id, vec, cutoff) by block, the rows of a block before its queries."""
+def dealt(rows: DataFrame, queries: DataFrame, blocks: int, first: int | None = None) -> DataFrame:
+    """Rows (id, vec) and queries (id, vec, cutoff) by block, the rows of a block before its queries; of the ``first`` blocks only, if said."""
     own = F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    if first is not None:
+        rows = rows.where(own < first)
+    every = F.explode(F.sequence(F.lit(0), F.lit((first or blocks) - 1)))
     columns = lambda block, query, cutoff: [
         block.alias("block"), F.size("vec").alias("dim"), F.lit(query).alias("query"), "id", "vec", cutoff.alias("cutoff")
     ]
@@ -94,8 +105,9 @@ def streamed(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[tuple[b
         elif held == (block, dim):
             if len(ids) > 1:
                 ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
-            for s in range(0, len(part_ids), CHUNK):
-                yield new, ids[0], vectors[0], part_ids[s : s + CHUNK], part_vectors[s : s + CHUNK], cutoffs[s : s + CHUNK]
+            chunk = max(1, min(CHUNK, CHUNK * BLOCK // len(ids[0])))
+            for s in range(0, len(part_ids), chunk):
+                yield new, ids[0], vectors[0], part_ids[s : s + chunk], part_vectors[s : s + chunk], cutoffs[s : s + chunk]
                 new = False
 
 

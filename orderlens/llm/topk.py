@@ -3,8 +3,9 @@
 The coordinates are split into ``LISTS`` groups; a query's score of a vector is the sum of the
 groups' partial scores, and each group is a list of (vector, partial score).
 
-1. Gather: in every block, the best entries of each list, with their full scores.  The k-th best
-   full score found for a query is its safe cutoff: the true k-th best can't be lower.
+1. Gather: in a share of the blocks (``GATHER``), the best entries of each list, with their full scores.  The k-th best
+   full score found for a query is its safe cutoff: the true k-th best can't be lower.  A share is enough for a
+   cutoff near the true one, and the other blocks' products are made once, in the next phase.
 2. Cut: a vector whose full score reaches the cutoff has a partial score of cutoff / LISTS or more in
    at least one list.  The cutoffs travel with the queries, and each block collects the entries that
    are sufficient in some list.
@@ -27,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.blocks import BLOCK, asked, best, dealt, streamed, valid_vectors
+from orderlens.llm.blocks import BLOCK, asked, best, block_count, dealt, streamed, valid_vectors
 from orderlens.llm.common import settled, stored, workspace
 
 SCALE, LISTS = 256, 4
+#: one in so many blocks is gathered from
+GATHER = 8
 RESULT = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -100,10 +103,10 @@ def _resolve(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best ``rows`` of each of ``queries``, both (id, vec), but its own."""
-    blocks = max(1, -(-rows.count() // block))
+    blocks = block_count(rows.count(), block)
     queries = asked(queries, k)
     no_cutoff = queries.withColumn("cutoff", F.lit(None).cast("double"))
-    gathered = stored(dealt(rows, no_cutoff, blocks).mapInArrow(lambda b: _gather(b, k), RESULT), "topk-gathered")
+    gathered = stored(dealt(rows, no_cutoff, blocks, -(-blocks // GATHER)).mapInArrow(lambda b: _gather(b, k), RESULT), "topk-gathered")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     # doubles hold these cutoffs rounded down at worst: a lower cutoff is safe
     cutoffs = gathered.withColumn("place", place).where(F.col("place") == k)

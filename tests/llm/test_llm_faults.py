@@ -214,3 +214,26 @@ def test_nothing_stays_of_a_run(spark, sf_dir):
     assert not set(folder.rglob("part-*")) - before
     QUERIES["op5_warc"](spark, sf_dir).count()
     assert not set(folder.rglob("*.parquet")) - before and not list(folder.rglob("*.warc.gz"))
+
+
+# ---- searches ----
+
+def test_blocks_grow_before_there_are_many():
+    from orderlens.llm.blocks import block_count
+
+    assert [block_count(n) for n in (0, 1, 4096, 4097, 64 * 4096, 64 * 4096 + 1, 64 * 65_536, 10**9)] == [1, 1, 1, 2, 64, 64, 64, -(-(10**9) // 65_536)]
+
+
+def test_a_cutoff_from_some_blocks_keeps_the_top_exact(spark):
+    from orderlens.llm import topk
+
+    rng = np.random.default_rng(9)
+    vectors = rng.standard_normal((3000, 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, vec array<double>")
+    scaled = np.floor(256 * vectors).astype(np.int64)
+    found = topk.top_k(rows, rows.where("id % 100 = 0"), 5, block=100).collect()
+    expected = set()
+    for q in range(0, 3000, 100):
+        order = sorted((-int(s), i) for i, s in enumerate(scaled @ scaled[q]) if i != q)[:5]
+        expected |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(order)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found} == expected
