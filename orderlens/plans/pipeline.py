@@ -21,13 +21,16 @@ from orderlens.sources.inputs import Inputs
 STAGE_ORDER = ["unique_products", "base", "delete_enriched", "level1", "report", "report_cash"]
 #: lines for each order that the bitmaps of orders and lines have room for
 LINES_PER_ORDER = 4
+#: of all orders, the share of the period's up to which reading the lines twice for the bitmaps saves more shuffle than it costs
+REDUCED_SHARE = 0.25
 
 
 def _run(inp: Inputs, start: str, tz: str, put: Callable[[str, DataFrame], DataFrame]) -> None:
     """Build every stage in order; ``put`` writes one and returns what later ones read."""
-    # a count of narrow rows of the period sizes the bitmaps
+    # two counts of narrow rows size the bitmaps
     orders = stages.orders_in_scope(inp, start, tz).agg(F.count(F.lit(1))).first()[0]
-    bits = bits_for(LINES_PER_ORDER * orders)
+    reduce = orders <= REDUCED_SHARE * inp.order_head.count()
+    bits = bits_for(LINES_PER_ORDER * orders) if reduce else None
     put("unique_products", stages.unique_products(inp, start, tz, bits))
     b = put("base", stages.base(inp, start, tz, bits))
     de = put("delete_enriched", stages.delete_enriched(b))

@@ -110,7 +110,7 @@ def individual_subscribers(inp: Inputs) -> DataFrame:
     return san.join(ban, F.col("_san_ba") == F.col("_ban_ba"), "inner").drop("_san_ba", "_ban_ba")
 
 
-def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS) -> DataFrame:
+def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int | None = DEFAULT_BITS) -> DataFrame:
     """Distinct (product id, name, type) sold to individual customers in the period.
 
     Name and type come from the product dimension alone, so the lines are first reduced to
@@ -138,13 +138,13 @@ def unique_products(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEF
     )
 
 
-def latest_service_dates(inp: Inputs, lines: DataFrame | None = None, bits: int = DEFAULT_BITS) -> DataFrame:
+def latest_service_dates(inp: Inputs, lines: DataFrame | None = None, bits: int | None = DEFAULT_BITS) -> DataFrame:
     """Latest version of every order line's service dates (NULL update times last).
 
     With ``lines`` (row_id), versions of other lines are dropped where they are read, but for a few: the history has all
     lines that ever were, a report those of a period."""
     versions = inp.order_item_om
-    if lines is not None:
+    if lines is not None and bits is not None:
         versions = reduced_to_keys(versions, "row_id", lines, "row_id", bits)
     return latest_per_key(
         versions,
@@ -157,7 +157,7 @@ def latest_service_dates(inp: Inputs, lines: DataFrame | None = None, bits: int
     )
 
 
-def period_lines(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS) -> DataFrame:
+def period_lines(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int | None = DEFAULT_BITS) -> DataFrame:
     """Completed Add and Delete lines that may be of an order of the period."""
     lines = inp.order_item.where((F.col("status_cd") == R.COMPLETE) & F.col("action_cd").isin(R.ADD, R.DELETE))
     return _lines_of_period(inp, lines, start, tz, bits)
@@ -166,11 +166,11 @@ def period_lines(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAUL
 def _lines_of_period(inp: Inputs, lines: DataFrame, start: str, tz: str, bits: int) -> DataFrame:
     """Lines have no date.  Those of other orders are dropped where they are read, but for a few, by a bitmap of the period's
     order ids, so that the join with the orders shuffles lines of the period instead of all there ever were."""
-    return reduced_to_keys(lines, "order_id", orders_in_scope(inp, start, tz), "row_id", bits)
+    return lines if bits is None else reduced_to_keys(lines, "order_id", orders_in_scope(inp, start, tz), "row_id", bits)
 
 
-def base(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS) -> DataFrame:
-    """``bits``: of the bitmaps of the period's orders and lines (``operators.key_filter``)."""
+def base(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int | None = DEFAULT_BITS) -> DataFrame:
+    """``bits``: of the bitmaps of the period's orders and lines (``operators.key_filter``); None: no bitmaps."""
     kept = period_lines(inp, start, tz, bits)
     lines = kept.select(
         "row_id", "order_id", "prod_id", "serv_accnt_id",
@@ -537,7 +537,7 @@ def report_cash(rpt: DataFrame, inp: Inputs, start: str) -> DataFrame:
     )
 
 
-def run_chain(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int = DEFAULT_BITS,
+def run_chain(inp: Inputs, start: str, tz: str = LOCAL_TZ, bits: int | None = DEFAULT_BITS,
               store: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """All stages chained.  ``store(name, df)`` may materialise the two stages that are read
     several times (base, delete_enriched) and return the re-read DataFrame; without it the

@@ -50,7 +50,7 @@ def test_service_history_is_reduced_to_the_periods_lines(spark, sf_dir):
 
 def test_lines_of_the_period_are_all_kept(spark, sf_dir):
     inp = from_testdata(spark, sf_dir)
-    for bits in (1 << 15, 1 << 20):
+    for bits in (None, 1 << 15, 1 << 20):
         assert _bag(stages.base(inp, FIXTURE_START, bits=bits)) == _bag(stages.base(inp, FIXTURE_START))
 
 
