@@ -49,6 +49,8 @@ SHARD_BYTES, ROLL_BYTES, REVISIT_BYTES = 64 << 20, 8 << 20, 0
 #: shards at most, equal records that are dealt out together, bytes that a record costs besides its payload
 MAX_SHARDS, RANGE, RECORD_BYTES = 20_000, 256, 512
 LEVEL = 5
+#: compressed bytes that are read at once
+_PIECE = 1 << 14
 DATE = "2024-01-01T00:00:00Z"
 SOFTWARE = "orderlens"
 
@@ -289,10 +291,19 @@ def _staged(pages: DataFrame, folder: str, shard_bytes: int, roll: int, revisit_
 
 def members(data: bytes) -> Iterator[bytes]:
     """The decompressed gzip members of an archive, one after the other."""
-    while data:
+    view, at = memoryview(data), 0
+    while at < len(view):
         z = zlib.decompressobj(31)
-        yield z.decompress(data)
-        data = z.unused_data
+        parts = []
+        # piece by piece, as what is left over is copied each time
+        while not z.eof:
+            if at >= len(view):
+                raise ValueError("an archive ends within a record")
+            piece = view[at : at + _PIECE]
+            parts.append(z.decompress(piece))
+            at += len(piece)
+        at -= len(z.unused_data)
+        yield b"".join(parts)
 
 
 def parse(record: bytes) -> tuple[dict[str, str], bytes]:
