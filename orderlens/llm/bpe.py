@@ -35,9 +35,9 @@ from pyspark.sql import types as T
 
 TOKENIZER = "byte_bpe_50k.json"
 #: entries of a task's fragment table, and the longest fragment kept in it (bytes)
-TABLE_ENTRIES, TABLE_BYTES = 600_000, 48
+TABLE_ENTRIES, TABLE_BYTES = 300_000, 48
 #: text encoded and handed on at once (bytes); a longer document goes alone
-STEP_BYTES = 8 << 20
+STEP_BYTES = 2 << 20
 
 # ---- fixed values: white space in UTF-8 ends with one of these bytes ----
 SPACE_ENDS = [*range(0x09, 0x0E), *range(0x1C, 0x21), *range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]

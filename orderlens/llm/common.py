@@ -16,8 +16,15 @@ from orderlens.scratch import remove, settled  # noqa: F401
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: rows of an Arrow batch, where the session has Spark's default (10,000): texts are long, and a task holds a batch several times
+BATCH_ROWS = 2000
+_BATCH, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def importable(spark: SparkSession) -> None:
-    """Let the Python workers import this package from where the driver has it, besides their own path."""
+    """Let the Python workers import this package from where the driver has it, besides their own path, and bound their batches."""
+    if spark.conf.get(_BATCH) == _DEFAULT:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
