@@ -28,6 +28,21 @@ def test_joins_and_flags_run_the_stage(spark, sf_dir, monkeypatch, query, stage)
     assert calls
 
 
+@pytest.mark.parametrize("query", ["union_padded_branches", "project_star_plus", "join_self_add_delete", "join_order_mix", "stage_delete_enriched"])
+def test_queries_that_read_the_base_several_times_build_it_once(spark, sf_dir, query):
+    """The inputs are scanned for the base alone, not once for each of its readers."""
+    plan = queries.REGISTRY[query](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in plan and "FileScan" not in plan
+
+
+@pytest.mark.parametrize("query", ["union_padded_branches", "stage_base", "stage_level1"])
+def test_no_bitmaps_where_the_period_has_most_of_the_orders(spark, sf_dir, monkeypatch, query):
+    given, base = [], stages.base
+    monkeypatch.setattr(stages, "base", lambda inp, start, tz=stages.LOCAL_TZ, bits=0: given.append(bits) or base(inp, start, tz, bits))
+    queries.REGISTRY[query](spark, sf_dir)
+    assert given == [None]
+
+
 def _bag(df):
     return Counter(tuple(r) for r in df.collect())
 
