@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -144,6 +145,30 @@ def test_a_hot_id_is_written_by_many_tasks(spark, tmp_path):
     assert max(records) <= 100_000 // 512 + warc.RANGE
 
 
+def test_the_writer_keeps_three_tables(spark, tmp_path, monkeypatch):
+    """Each stored table is a file or more for every shuffle partition, and memory for the task that writes it."""
+    kept, stored = [], warc.stored
+    monkeypatch.setattr(warc, "stored", lambda df, what: kept.append(what) or stored(df, what))
+    rows = [(1, "u", "a"), (1, "u", "a"), (2, "v", "a"), (None, "w", "a"), (3, "u", None)] + [(i, "u", f"p{i}") for i in range(4, 20)]
+    warc.write_archives(spark.createDataFrame(rows, PAGES), str(tmp_path))
+    assert kept == ["warc-ranges", "warc-ranged", "warc-staged"]
+    read = Counter((r.page_id, r.record_type, r.refers_to, r.payload) for r in warc.read_archives(spark, str(tmp_path)).collect())
+    plain = [(3, "response", None, ""), *[(i, "response", None, f"p{i}") for i in range(4, 20)]]
+    assert read == Counter([(1, "revisit", 2, None)] * 2 + [(2, "response", None, "a"), (None, "revisit", 2, None)] + plain)
+
+
+def test_long_payloads_are_passed_on_few_at_a_time(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"{i} " + "x" * 500_000) for i in range(40)], PAGES)
+    manifest = warc.write_archives(pages, str(tmp_path)).select("name", "bytes", "sha256").toArrow()
+    batches = list(warc._read(iter(manifest.to_batches()), str(tmp_path)))
+    assert sum(b.num_rows for b in batches) == 40
+    assert max(sum(b.column("payload_bytes").to_pylist()) for b in batches) <= warc._PASSED_BYTES + 500_100
+    # and so are rows that become Python objects
+    whole = batches[0].slice(0, 1).to_pylist() * 1000
+    few = list(warc._sliced(iter([pa.RecordBatch.from_pylist(whole)])))
+    assert sum(b.num_rows for b in few) == 1000 and max(b.num_rows for b in few) <= 64
+
+
 def test_only_the_manifests_files_are_read(spark, tmp_path):
     pages = spark.createDataFrame([(i, "u", f"p{i}") for i in range(50)], PAGES)
     manifest = warc.write_archives(pages, str(tmp_path))
