@@ -181,25 +181,30 @@ def bands(classes: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(cid, center, elements), a row for each class in ``wanted`` (set_id, cid, rep, center), computed anew from the text of ``rep``."""
+    """(cid, center, elements), a row for each class in ``wanted`` (set_id, cid, rep, center), computed anew from the text of ``rep``.
+
+    Classes without numbers, (set_id, rep), are named by their set: (set_id, elements)."""
+    named = ["cid", "center"] if "cid" in wanted.columns else ["set_id"]
+    k = len(named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(3).to_pylist()
+            texts = batch.column(k + 1).to_pylist()
             for s in steps([len(t or "") for t in texts], 1 << 22):
                 sets = [shingles(t or "") for t in texts[s]]
                 # rows that share an id may have other texts
-                same = pa.array([set_digest(x) == d for x, d in zip(sets, batch.column(2)[s].to_pylist())], pa.bool_())
+                same = pa.array([set_digest(x) == d for x, d in zip(sets, batch.column(k)[s].to_pylist())], pa.bool_())
                 elements = pa.array([x.tobytes() for x in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[s], batch.column(1)[s], elements], ["cid", "center", "elements"]).filter(same)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i)[s] for i in range(k)), elements], [*named, "elements"]).filter(same)
 
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(small(wanted, 64), "rep").select("cid", "center", "set_id", "text").mapInArrow(run, "cid bigint, center bigint, elements binary")
+    asked = texts.join(small(wanted, 64), "rep").select(*named, F.col("set_id").alias("digest"), "text")
+    found = asked.mapInArrow(run, ", ".join([*(f"{c} {asked.schema[c].dataType.simpleString()}" for c in named), "elements binary"]))
     sets = stored(found, "full-sets")
     # only rows that share an id repeat a set
-    if sets.groupBy("cid").count().where("count > 1").isEmpty():
+    if sets.groupBy(named[0]).count().where("count > 1").isEmpty():
         return sets
-    return stored(sets.dropDuplicates(["cid"]), "single-sets")
+    return stored(sets.dropDuplicates(named[:1]), "single-sets")
 
 
 def linked(a: np.ndarray, b: np.ndarray, similarity: int = SIMILARITY) -> bool:

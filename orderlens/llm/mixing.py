@@ -48,11 +48,12 @@ def document_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def source_rates(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
-    """(source, source_size, weight, target, rate) per source.
+    """(source, source_size, weight, target, rate) per source of rows (source, size), or (source, size, n) for n rows each.
 
     The windows run over one row per source, after the map-side combined sum.
     """
-    by_source = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    n = F.col("n") if "n" in sizes.columns else F.lit(1)
+    by_source = sizes.groupBy("source").agg(F.sum(F.col("size") * n).alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     weighed = by_source.withColumn(
         "weight", F.element_at(F.array(*[F.lit(w) for w in weights]), ((rank - 1) % len(weights) + 1).cast("int"))

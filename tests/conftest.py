@@ -21,3 +21,12 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SMALL_SF
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left(spark):
+    """Temporary views of a module's tests go with it: they are in every database's list of tables."""
+    yield
+    for t in spark.catalog.listTables():
+        if t.isTemporary:
+            spark.catalog.dropTempView(t.name)
